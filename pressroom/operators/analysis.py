@@ -58,81 +58,93 @@ def batch_tokens(requests: DataFrame, *groups: str) -> DataFrame:
     )
 
 
-def response_items(responses: DataFrame) -> DataFrame:
-    """Items of the responses' JSON arrays with ``pos``; an unreadable array gives one row.
-
-    Expects ``batch_id, response_json``.
-    """
-    items = F.from_json("response_json", T.ArrayType(RESPONSE_ITEM))
-    return (
-        responses.withColumn("readable", F.try_parse_json("response_json").isNotNull())
-        .select("batch_id", "readable", F.when(F.col("readable"), items).alias("items"))
-        .select("batch_id", "readable", F.posexplode_outer("items").alias("pos", "item"))
-        .select("batch_id", "readable", "pos", "item.*")
-    )
-
-
-def _problems() -> Column:
+def _problems(item: Column) -> Column:
     """Array of what is wrong with a response item."""
 
     def missing(name: str, value: Column) -> Column:
         return F.when(value.isNull(), f"missing {name}")
 
     def member(name: str, allowed: list[str]) -> Column:
-        value = F.col(name)
-        return missing(name, value).when(~value.isin(allowed), f"invalid {name}")
+        return missing(name, item[name]).when(~item[name].isin(allowed), f"invalid {name}")
 
     def score(name: str, required: bool) -> Column:
-        value = F.col(name)
+        value = item[name]
         inside = F.coalesce(value.try_cast("double").between(0.0, 1.0), F.lit(False))
-        wrong = value.isNotNull() & ~inside
-        result = F.when(wrong, f"invalid {name}")
+        result = F.when(value.isNotNull() & ~inside, f"invalid {name}")
         return result.when(value.isNull(), f"missing {name}") if required else result
 
-    events = F.col("event_category")
+    events = item["event_category"]
     strange = F.exists(events, lambda e: ~F.coalesce(e.isin(V.EVENT_CATEGORIES), F.lit(False)))
     return F.array_compact(
         F.array(
-            missing("news_id", F.col("news_id")),
+            missing("news_id", item["news_id"]),
             member("emotion_category", V.EMOTIONS),
             missing("event_category", events).when(strange, "invalid event_category"),
             member("price_direction_category", V.PRICE_DIRECTIONS),
             member("timeframe_category", V.TIMEFRAMES),
             *[score(name, True) for name in V.REQUIRED_SCORES],
             *[score(name, False) for name in V.OPTIONAL_SCORES],
-            missing("key_topics", F.col("key_topics")),
-            missing("free_text_summary", F.coalesce("free_text_summary", "summary")),
+            missing("key_topics", item["key_topics"]),
+            missing("free_text_summary", F.coalesce(item["free_text_summary"], item["summary"])),
         )
     )
 
 
+def _typed(item: Column) -> Column:
+    """An item with its scores as numbers, one spelling of each field, and its problems."""
+    scores = V.REQUIRED_SCORES + V.OPTIONAL_SCORES
+    renamed = {
+        "free_text_summary": F.coalesce(item["free_text_summary"], item["summary"]),
+        "explain_reasoning_summary": F.coalesce(
+            item["explain_reasoning_summary"], item["reasoning"]
+        ),
+    }
+    fields = [
+        item[name].try_cast("double") if name in scores else renamed.get(name, item[name])
+        for name in RESPONSE_ITEM.names
+    ]
+    return F.struct(
+        *[value.alias(name) for name, value in zip(RESPONSE_ITEM.names, fields)],
+        _problems(item).alias("problems"),
+    ).dropFields("summary", "reasoning")
+
+
 def parse_responses(responses: DataFrame, strict: bool = False) -> DataFrame:
     """Typed analysis rows with ``problems``, an array of texts that is empty for a valid item.
 
-    Scores may be numbers or quoted numbers. ``strict`` fails the job at the first invalid item,
-    as a batch with one does in the original workflow. A sentiment that does not add up to one
-    is only flagged.
+    Expects ``batch_id, response_json`` with a JSON array per row; an unreadable one gives a
+    single row. Scores may be numbers or quoted numbers. ``strict`` fails the job at the first
+    invalid item, as a batch with one does in the original workflow. A sentiment that does not
+    add up to one is only flagged.
+
+    Items are checked inside the array, before it is exploded: as columns of a projection the
+    checks would be copied into every later filter.
     """
-    items = response_items(responses)
-    problems = F.when(~F.col("readable"), F.array(F.lit("invalid JSON"))).otherwise(_problems())
-    items = items.withColumn("problems", problems)
+    parsed = responses.select(
+        "batch_id",
+        F.try_parse_json("response_json").isNotNull().alias("_json"),
+        F.from_json("response_json", T.ArrayType(RESPONSE_ITEM)).alias("_items"),
+    ).select(
+        "batch_id",
+        (F.col("_json") & F.col("_items").isNotNull()).alias("_readable"),
+        F.when(F.col("_json"), F.transform("_items", _typed)).alias("_items"),
+    )
+    items = (
+        parsed.select("batch_id", "_readable", F.posexplode_outer("_items").alias("pos", "item"))
+        .where(~F.col("_readable") | F.col("pos").isNotNull())
+        .select("batch_id", "_readable", "pos", "item.*")
+        .withColumn(
+            "problems",
+            F.when(~F.col("_readable"), F.array(F.lit("invalid JSON"))).otherwise(F.col("problems")),
+        )
+        .drop("_readable")
+    )
     if strict:
         failure = F.concat(F.lit("Invalid response format: "), F.array_join("problems", "; "))
         items = items.where(F.assert_true(F.size("problems") == 0, failure).isNull())
-    scores = {
-        name: F.col(name).try_cast("double") for name in V.REQUIRED_SCORES + V.OPTIONAL_SCORES
-    }
     total = F.col("positive") + F.col("negative") + F.col("neutral")
-    return (
-        items.withColumns(scores)
-        .withColumns(
-            {
-                "free_text_summary": F.coalesce("free_text_summary", "summary"),
-                "explain_reasoning_summary": F.coalesce("explain_reasoning_summary", "reasoning"),
-                "sentiment_warning": F.coalesce(F.abs(total - 1) > 0.01, F.lit(False)),
-            }
-        )
-        .drop("readable", "summary", "reasoning")
+    return items.withColumn(
+        "sentiment_warning", F.coalesce(F.abs(total - 1) > 0.01, F.lit(False))
     )
 
 
