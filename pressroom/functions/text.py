@@ -19,9 +19,12 @@ def emoji_class() -> str:
 
 NON_ASCII = r"[^\x00-\x7F]"
 CONTROL = r"\x1B\[[0-9;]*[A-Za-z]|[\x00-\x08\x0B\x0E-\x1F\x7F-\x84\x86-\x9F]"
+ASCII_RUN = r"[\x00-\x7F]+"
 # Keeps emoji, with their joiners and variation marks, as group 1; anything else left over from
 # transliteration falls outside the group.
-KEEP_EMOJI = rf"([{emoji_class()}](?:[\x{{FE0F}}\x{{200D}}]+[{emoji_class()}]?)*)|{NON_ASCII}"
+EMOJI_OR_OTHER = rf"([{emoji_class()}](?:[\x{{FE0F}}\x{{200D}}]+[{emoji_class()}]?)*)|{NON_ASCII}"
+# The look-ahead turns down ASCII at once; the emoji class is a long list of ranges.
+KEEP_EMOJI = rf"(?={NON_ASCII})(?:{EMOJI_OR_OTHER})"
 
 _UTF8_RUN = r"[\xC2-\xDF][\x80-\xBF]|[\xE0-\xEF][\x80-\xBF]{2}|[\xF0-\xF4][\x80-\xBF]{3}"
 
@@ -119,7 +122,8 @@ def clean_text(
 ) -> Column:
     """Normalised text; null stays null. Plain ASCII rows skip the Unicode steps."""
     ascii_only = F.regexp_replace(text, CONTROL, "")
-    result = F.when(text.rlike(NON_ASCII), to_ascii(fix_unicode(text))).otherwise(ascii_only)
+    is_ascii = F.length(text) == F.octet_length(text)
+    result = F.when(is_ascii, ascii_only).otherwise(to_ascii(fix_unicode(text)))
     result = replace_urls(result)
     if no_emails:
         result = F.regexp_replace(result, V.EMAIL, "<EMAIL>")
@@ -166,7 +170,11 @@ def with_spam_score(df: DataFrame, text: str, out: str = "spam_score") -> DataFr
     def share(count: Column, weight: float) -> Column:
         return F.least(count / (total * F.lit(weight)), F.lit(1.0))
 
-    emoji = F.regexp_count(F.col(text), F.lit(f"[{emoji_class()}]"))
+    # Emoji are looked for among the non-ASCII characters only, and not at all in ASCII rows.
+    other = F.regexp_replace(F.col(text), ASCII_RUN, "")
+    emoji = F.when(F.length(text) == F.octet_length(text), 0).otherwise(
+        F.regexp_count(other, F.lit(f"[{emoji_class()}]"))
+    )
     promo = F.size(F.filter(words, lambda word: word.isin(V.PROMO_WORDS)))
     runs = F.regexp_count(F.col(text), F.lit(V.EXCLAMATION_RUN))
     score = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pressroom import fixed_values as V
+from pressroom.functions.arrays import explode_rows
 from pressroom.functions.dates import percent_text
 from pressroom.functions.html import host, with_blocks, with_fallback, with_text
 from pressroom.operators.ingest import keep_first
@@ -151,7 +152,7 @@ def boilerplate_blocks(pages: DataFrame, min_pages: int = 2) -> DataFrame:
     """
     hashes = F.array_distinct(F.transform("blocks", F.md5))
     return (
-        pages.select("host", F.explode(hashes).alias("block_md5"))
+        explode_rows(pages, ["host"], hashes, "_pos", "block_md5")
         .groupBy("host", "block_md5")
         .agg(F.count(F.lit(1)).alias("n_pages"))
         .where(F.col("n_pages") >= min_pages)
@@ -171,10 +172,9 @@ def extract_text(
         return with_text(pages).select(key, "full_text")
     cut = with_blocks(pages.withColumn("host", host(F.col(url))))
     repeated = boilerplate_blocks(cut, min_pages)
+    hashes = F.array_distinct(F.transform("blocks", F.md5))
     hits = (
-        cut.select(
-            key, "host", F.explode(F.array_distinct(F.transform("blocks", F.md5))).alias("block_md5")
-        )
+        explode_rows(cut, [key, "host"], hashes, "_pos", "block_md5")
         .join(repeated, ["host", "block_md5"], "left_semi")
         .groupBy(key)
         .agg(F.collect_set("block_md5").alias("_repeated"))

@@ -31,7 +31,7 @@ def clean(text: str) -> str:
     for char, plain in several.items():
         result = f"replace({result}, {q(char)}, {q(plain)})"
     result = f"translate({result}, {q(source)}, {q(target)})"
-    result = f"regexp_replace({result}, {q(X.KEEP_EMOJI)}, '\\1', 'g')"
+    result = f"regexp_replace({result}, {q(X.EMOJI_OR_OTHER)}, '\\1', 'g')"
     result = f"regexp_replace({result}, {q(V.URL)}, '<URL>', 'g')"
     phone = r"(^|[^\w)])" + V.PHONE_BODY + r"(\W|$)"
     for _ in range(2):

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from pressroom import fixed_values as V
 from pressroom.functions import sentences as S
+from pressroom.functions.arrays import explode_rows
 from pressroom.functions.dates import request_range
 from pressroom.functions.html import host, with_blocks
 from pressroom.functions.summary import with_centrality, with_sentence_scores, with_summary
@@ -408,7 +409,7 @@ def fetch_progress(spark, sf):
 @query
 def sentences(spark, sf):
     cut = I.documents(spark, sf).select("doc_id", S.split_sentences(F.col("text")).alias("sentences"))
-    rows = cut.select("doc_id", F.posexplode("sentences").alias("idx", "sentence"))
+    rows = explode_rows(cut, ["doc_id"], "sentences", "idx", "sentence")
     return rows.select(
         "doc_id", "idx", F.md5("sentence").alias("sentence_md5"), S.space_words(F.col("sentence")).alias("n_words")
     )
@@ -422,7 +423,7 @@ def sentence_weights(spark, sf):
     docs = docs.withColumn("q90", S.array_quantile(F.col("n_words"), V.LENGTH_QUANTILE))
     docs = docs.withColumn("weights", S.length_weights(F.col("n_words"), F.col("q90")))
     docs = docs.withColumn("n", F.size("n_words"))
-    rows = docs.select("doc_id", "n", "q90", F.posexplode("weights").alias("idx", "weight"))
+    rows = explode_rows(docs, ["doc_id", "n", "q90"], "weights", "idx", "weight")
     intro, conclusion = S.position_scores(F.col("n"), F.col("idx"))
     return rows.select(
         "doc_id",
@@ -446,7 +447,7 @@ def dense_centrality(spark, sf):
         "doc_id", F.col("rows.embedding").alias("vectors"), F.col("rows.n_words").alias("n_words")
     )
     scored = with_centrality(docs, "n_words", vectors="vectors")
-    rows = scored.select("doc_id", F.posexplode("centrality").alias("idx", "centrality"))
+    rows = explode_rows(scored, ["doc_id"], "centrality", "idx", "centrality")
     return rows.select("doc_id", "idx", F.round("centrality", 6).alias("centrality"))
 
 
@@ -463,7 +464,7 @@ def tfidf_centrality(spark, sf):
         S.sentence_terms(F.col("sentences")).alias("terms"),
     )
     docs = with_sentence_scores(with_centrality(docs, "n_words", terms="terms"), "centrality", "score")
-    rows = docs.select("doc_id", F.posexplode(F.arrays_zip("centrality", "score")).alias("idx", "row"))
+    rows = explode_rows(docs, ["doc_id"], F.arrays_zip("centrality", "score"), "idx", "row")
     return rows.select(
         "doc_id",
         "idx",
@@ -497,7 +498,7 @@ def _request_articles(spark, sf):
 @query
 def prompt_messages(spark, sf):
     messages = analysis.with_messages(_request_articles(spark, sf))
-    rows = messages.select("news_id", F.posexplode("messages").alias("pos", "message"))
+    rows = explode_rows(messages, ["news_id"], "messages", "pos", "message")
     return rows.select("news_id", "pos", "message.role", F.md5("message.content").alias("content_md5"))
 
 

@@ -94,7 +94,7 @@ class TableSpec:
     path: str
     key: str = "news_id"
     partitions: list[str] = field(default_factory=list)
-    buckets: int = 64
+    buckets: int = 8
 
 
 TABLES = {

@@ -147,9 +147,8 @@ class Warehouse:
         total, updated = sum(r["count"] for r in new), sum(r["count"] for r in old)
         if total:
             touched = sorted({self._label(spec, row) for row in new + old})
-            self.spark.createDataFrame([(t,) for t in touched], "label string").write.parquet(
-                f"{stage}/touched"
-            )
+            labels = self.spark.createDataFrame([(t,) for t in touched], "label string")
+            labels.coalesce(1).write.parquet(f"{stage}/touched")
             current = target.where(self._label_column(spec).isin(touched))
             merged = merge_rows(current, source, spec.key)
             self._write(spec, self._clustered(spec, merged), f"{stage}/merged")
