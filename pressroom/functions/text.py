@@ -83,6 +83,10 @@ def transliteration() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(single.values()), several
 
 
+def is_ascii(text: Column) -> Column:
+    return F.length(text) == F.octet_length(text)
+
+
 def fix_unicode(text: Column) -> Column:
     """Undo UTF-8 that was read as Windows-1252 or Latin-1; drop control characters.
 
@@ -92,17 +96,27 @@ def fix_unicode(text: Column) -> Column:
     """
     shown, code = _windows_specials()
     latin = F.translate(text, shown, code)
-    garbled = latin.rlike(_UTF8_RUN) & ~F.regexp_replace(latin, _UTF8_RUN, "").rlike(NON_ASCII)
+    suspect = text.rlike(rf"[\xC2-\xF4][\x80-\xBF{shown}]")
+    garbled = (
+        suspect & latin.rlike(_UTF8_RUN) & ~F.regexp_replace(latin, _UTF8_RUN, "").rlike(NON_ASCII)
+    )
     decoded = F.decode(F.encode(latin, "ISO-8859-1"), "UTF-8")
     return F.regexp_replace(F.when(garbled, decoded).otherwise(text), CONTROL, "")
 
 
-def to_ascii(text: Column) -> Column:
-    """Latin letters and punctuation to ASCII; emoji stay; the rest is dropped."""
+def latin_to_ascii(text: Column) -> Column:
+    """Latin letters and punctuation to ASCII. ``text`` should be a plain column."""
     source, target, several = transliteration()
+    spelled = text
     for char, plain in several.items():
-        text = F.replace(text, F.lit(char), F.lit(plain))
-    return F.regexp_replace(F.translate(text, source, target), KEEP_EMOJI, "$1")
+        spelled = F.replace(spelled, F.lit(char), F.lit(plain))
+    some = text.rlike("[" + "".join(several) + "]")
+    return F.translate(F.when(some, spelled).otherwise(text), source, target)
+
+
+def drop_non_ascii(text: Column) -> Column:
+    """Only ASCII characters and emoji stay."""
+    return F.regexp_replace(text, KEEP_EMOJI, "$1")
 
 
 def normalize_whitespace(text: Column) -> Column:
@@ -117,22 +131,44 @@ def replace_phones(text: Column, label: str = "<PHONE>") -> Column:
     return F.regexp_replace(text, V.PHONE, label)
 
 
-def clean_text(
-    text: Column, *, no_emails: bool = False, no_numbers: bool = False, no_punct: bool = False
-) -> Column:
-    """Normalised text; null stays null. Plain ASCII rows skip the Unicode steps."""
-    ascii_only = F.regexp_replace(text, CONTROL, "")
-    is_ascii = F.length(text) == F.octet_length(text)
-    result = F.when(is_ascii, ascii_only).otherwise(to_ascii(fix_unicode(text)))
-    result = replace_urls(result)
+def with_clean_text(
+    df: DataFrame,
+    text: str,
+    out: str,
+    *,
+    no_emails: bool = False,
+    no_numbers: bool = False,
+    no_punct: bool = False,
+) -> DataFrame:
+    """Add the normalised text; null stays null.
+
+    Every step is a column of its own that the next one tests cheaply before any regex runs:
+    plain ASCII rows skip the Unicode steps, rows without a link the URL step, and so on.
+    """
+
+    def step(frame: DataFrame, needed, change) -> DataFrame:
+        now = F.col("_text")
+        return frame.withColumn("_text", F.when(needed(now), change(now)).otherwise(now))
+
+    raw = F.col(text)
+    df = df.withColumn(
+        "_text",
+        F.when(is_ascii(raw), F.regexp_replace(raw, CONTROL, "")).otherwise(fix_unicode(raw)),
+    )
+    df = step(df, lambda t: ~is_ascii(t), latin_to_ascii)
+    df = step(df, lambda t: ~is_ascii(t), drop_non_ascii)
+    df = step(df, lambda t: t.contains("://") | t.contains("www"), replace_urls)
     if no_emails:
-        result = F.regexp_replace(result, V.EMAIL, "<EMAIL>")
-    result = replace_phones(result)
+        df = step(
+            df, lambda t: t.contains("@"), lambda t: F.regexp_replace(t, V.EMAIL, "<EMAIL>")
+        )
+    df = step(df, lambda t: t.rlike(r"[0-9]{3}[ .-]?[0-9]{4}"), replace_phones)
+    result = F.col("_text")
     if no_numbers:
         result = F.regexp_replace(result, V.NUMBER, "<NUMBER>")
     if no_punct:
         result = F.translate(result, V.ASCII_PUNCTUATION, "")
-    return normalize_whitespace(result)
+    return df.withColumn(out, normalize_whitespace(result)).drop("_text")
 
 
 def word_count(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressroom import fixed_values as V
 from pressroom.functions.summary import with_summary
-from pressroom.functions.text import clean_text, curate, measure, token_count
+from pressroom.functions.text import curate, measure, token_count, with_clean_text
 from pressroom.schemas import CLEANED
 
 
@@ -24,8 +24,7 @@ def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def clean_full_text(articles: DataFrame, out: str = "full_cleaned_text") -> DataFrame:
     """Clean and curate ``full_text``; adds ``out`` and ``spam_score``, updates ``error``."""
-    cleaned = articles.withColumn(out, clean_text(F.col("full_text")))
-    return curate(cleaned, out)
+    return curate(with_clean_text(articles, "full_text", out), out)
 
 
 def with_selected_text(
@@ -56,7 +55,7 @@ def clean_articles(
     ``clean_preview``.
     """
     if clean_preview:
-        articles = articles.withColumn("preview_text", clean_text(F.col("preview_text")))
+        articles = with_clean_text(articles, "preview_text", "preview_text")
     df = clean_full_text(articles)
     df = measure(df, "preview_text", "full_cleaned_text", token_counter=token_counter)
     df = with_selected_text(df)
@@ -74,12 +73,8 @@ def clean_articles(
 
 def quality_report(documents: DataFrame, *groups: str) -> DataFrame:
     """Counts of kept, short and spam texts and size figures per group."""
-    df = documents.select(
-        *groups,
-        clean_text(F.col("text")).alias("text"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    df = curate(df, "text")
+    df = documents.select(*groups, "text", F.lit(None).cast("string").alias("error"))
+    df = curate(with_clean_text(df, "text", "text"), "text")
     return df.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if(F.col("text").isNotNull()).alias("n_kept"),

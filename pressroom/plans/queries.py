@@ -13,7 +13,7 @@ from pressroom.functions.arrays import explode_rows
 from pressroom.functions.dates import request_range
 from pressroom.functions.html import host, with_blocks
 from pressroom.functions.summary import with_centrality, with_sentence_scores, with_summary
-from pressroom.functions.text import clean_text, curate, measure, token_count, with_spam_score
+from pressroom.functions.text import measure, token_count, with_clean_text, with_spam_score
 from pressroom.operators import analysis, articles, ingest, prices, scrape
 from pressroom.operators import status as work
 from pressroom.plans import analysis as analysis_plan
@@ -48,7 +48,7 @@ def all_queries() -> dict[str, Query]:
 
 @query
 def text_normalize(spark, sf):
-    text = I.documents(spark, sf).select("doc_id", clean_text(F.col("text")).alias("text"))
+    text = with_clean_text(I.documents(spark, sf).select("doc_id", "text"), "text", "text")
     return text.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
 
 
