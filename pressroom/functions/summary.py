@@ -119,14 +119,16 @@ def with_summary(
     max_tokens: int = V.MAX_ARTICLE_TOKENS,
     embed=None,
     token_counter=token_count,
+    sentence_counter=None,
     compat: bool = False,
 ) -> DataFrame:
     """Add the text cut down to its most central sentences, in their own order.
 
     Texts below ``max_tokens`` pass unchanged; long texts of fewer than three sentences, or that
     cannot be cut to size, give null. ``embed`` may turn the sentence array column into an array
-    of vectors; by default the words of the sentences are compared. The work arrays of short
-    texts are null, so they cost next to nothing.
+    of vectors; by default the words of the sentences are compared. A ``token_counter`` that is
+    a Python function needs a ``sentence_counter`` beside it, from the sentence array to the array
+    of counts. The work arrays of short texts are null, so they cost next to nothing.
     """
     is_long = F.col("_tokens") >= max_tokens
     long_text = F.when(is_long, F.col(text))
@@ -138,7 +140,9 @@ def with_summary(
         .withColumns(
             {
                 "_n_words": S.sentence_words(F.col("_sentences")),
-                "_n_tokens": S.sentence_tokens(F.col("_sentences"), token_counter),
+                "_n_tokens": sentence_counter(F.col("_sentences"))
+                if sentence_counter
+                else S.sentence_tokens(F.col("_sentences"), token_counter),
                 "_features": embed(F.col("_sentences"))
                 if embed
                 else S.sentence_terms(F.col("_sentences")),

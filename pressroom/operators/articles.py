@@ -47,6 +47,7 @@ def clean_articles(
     clean_preview: bool = False,
     embed=None,
     token_counter=token_count,
+    sentence_counter=None,
     compat: bool = False,
 ) -> DataFrame:
     """Cleaned rows of joined metadata and scraped text; one row out per row in, no shuffle.
@@ -65,6 +66,7 @@ def clean_articles(
         "llm_ready_text",
         embed=embed,
         token_counter=token_counter,
+        sentence_counter=sentence_counter,
         compat=compat,
     )
     df = measure(df, "selected_text", "llm_ready_text", token_counter=token_counter)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pressroom import fixed_values as V
@@ -10,14 +12,15 @@ from pressroom.functions.dates import percent_text
 from pressroom.functions.html import host, with_blocks, with_fallback, with_text
 from pressroom.operators.ingest import keep_first
 from pressroom.schemas import DATE_PARTS
+from pressroom.session import work_dir
 
 
 def distinct_urls(metadata: DataFrame) -> DataFrame:
     return metadata.select("news_url").distinct()
 
 
-def fetch_outcomes(fetched: DataFrame) -> DataFrame:
-    """One result row per fetched page: text, status, error and success.
+def fetch_outcomes(fetched: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One result row per fetched page: text, status, error and success, and columns to ``keep``.
 
     ``error_kind`` of the input: null (answered), ``http``, ``request``, ``other``, or
     ``outside`` for a failure around the fetch itself.
@@ -42,6 +45,7 @@ def fetch_outcomes(fetched: DataFrame) -> DataFrame:
         .alias("error"),
         F.coalesce(answered & (F.col("full_text") != ""), F.lit(False)).alias("success"),
         F.when(kind == "outside", 0.0).otherwise(F.col("elapsed_time")).alias("elapsed_time"),
+        *keep,
     )
 
 
@@ -151,9 +155,12 @@ def boilerplate_blocks(pages: DataFrame, min_pages: int = 2) -> DataFrame:
     the shuffle, so a footer on every page of a large host is no hot spot.
     """
     hashes = F.array_distinct(F.transform("blocks", F.md5))
+    return count_blocks(explode_rows(pages, ["host"], hashes, "_pos", "block_md5"), min_pages)
+
+
+def count_blocks(rows: DataFrame, min_pages: int) -> DataFrame:
     return (
-        explode_rows(pages, ["host"], hashes, "_pos", "block_md5")
-        .groupBy("host", "block_md5")
+        rows.groupBy("host", "block_md5")
         .agg(F.count(F.lit(1)).alias("n_pages"))
         .where(F.col("n_pages") >= min_pages)
     )
@@ -164,30 +171,37 @@ def extract_text(
 ) -> DataFrame:
     """``key, full_text`` of a table of pages with ``html``.
 
-    With ``min_pages`` blocks repeated on that many pages of a host are left out first. Only
-    hashes are shuffled for that; the texts meet the list of repeated blocks once per page, by
-    ``key``, which must be unique.
+    With ``min_pages`` blocks repeated on that many pages of a host are left out first. The cut
+    pages are then written to the shared folder once; finding the repeated blocks reads hashes
+    only, and the texts meet the list once per page, by ``key``, which must be unique.
     """
     if min_pages is None:
         return with_text(pages).select(key, "full_text")
-    cut = with_blocks(pages.withColumn("host", host(F.col(url))))
-    repeated = boilerplate_blocks(cut, min_pages)
-    hashes = F.array_distinct(F.transform("blocks", F.md5))
+    spark = pages.sparkSession
+    path = work_dir(spark, "cut-pages")
+    hashes = F.transform("blocks", F.md5)
+    (
+        with_blocks(pages.withColumn("host", host(F.col(url))))
+        .select(key, "host", "blocks", hashes.alias("hashes"), "_kept")
+        .write.parquet(path)
+    )
+    cut = spark.read.parquet(path)
+    own = explode_rows(cut, [key, "host"], F.array_distinct("hashes"), "_pos", "block_md5")
+    repeated = count_blocks(own, min_pages)
     hits = (
-        explode_rows(cut, [key, "host"], hashes, "_pos", "block_md5")
-        .join(repeated, ["host", "block_md5"], "left_semi")
+        own.join(repeated, ["host", "block_md5"], "left_semi")
         .groupBy(key)
         .agg(F.collect_set("block_md5").alias("_repeated"))
     )
-    joined = cut.join(hits, key, "left").withColumn(
-        "_hashed",
-        F.arrays_zip(F.col("blocks").alias("block"), F.transform("blocks", F.md5).alias("md5")),
-    )
-    left = F.transform(
+    joined = cut.join(hits, key, "left")
+    # The set comes from the join as it is, so the lambda repeats no work.
+    kept = F.transform(
         F.filter(
-            F.col("_hashed"),
-            lambda item: ~F.coalesce(F.array_contains(F.col("_repeated"), item["md5"]), F.lit(False)),
+            F.zip_with("blocks", "hashes", lambda b, h: F.struct(b.alias("block"), h.alias("md5"))),
+            lambda item: ~F.array_contains(F.col("_repeated"), item["md5"]),
         ),
         lambda item: item["block"],
     )
-    return with_fallback(joined.withColumn("blocks", left)).select(key, "full_text")
+    whole = F.col("_repeated").isNull()
+    blocks = F.when(whole, F.col("blocks")).otherwise(kept)
+    return with_fallback(joined.withColumn("blocks", blocks)).select(key, "full_text")

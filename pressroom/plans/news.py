@@ -49,7 +49,7 @@ def scrape_articles(warehouse: Warehouse, fetched: DataFrame) -> dict:
     stays pending.
     """
     todo = pending_scrape(warehouse.read_table("article_status_data"))
-    metadata = rows_of(warehouse.read_table("raw_data"), todo)
+    metadata = warehouse.read_rows_of("raw_data", todo)
     urls = distinct_urls(metadata).withColumnRenamed("news_url", "_url")
     same_url = F.col("news_url").eqNullSafe(F.col("_url"))
     wanted = fetched.join(urls, same_url, "left_semi")
@@ -82,8 +82,8 @@ def scrape_articles(warehouse: Warehouse, fetched: DataFrame) -> dict:
 def clean_pending(warehouse: Warehouse, **options) -> dict:
     """Cleaned rows for the pending articles; ``options`` go to ``clean_articles``."""
     todo = pending_clean(warehouse.read_table("article_status_data"))
-    metadata = rows_of(warehouse.read_table("raw_data"), todo)
-    scraped = rows_of(warehouse.read_table("scraped_data"), todo)
+    metadata = warehouse.read_rows_of("raw_data", todo)
+    scraped = warehouse.read_rows_of("scraped_data", todo)
     cleaned = clean_articles(natural_left_join(metadata, scraped), **options)
     counts = warehouse.write_table("cleaned_data", cleaned, unique=True)
     todo = pending_clean(warehouse.read_table("article_status_data"))

@@ -410,10 +410,13 @@ UNION ALL SELECT o_orderkey, o_totalprice, o_orderdate, year(o_orderdate)::INT F
 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM newer)"""
     sql["filtered_read"] = """SELECT o_orderkey, o_totalprice FROM orders
 WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')"""
-    sql["list_normalize"] = """SELECT conv_id, count(*) FILTER (role = 'user')::INT AS n_asked,
-  count(*) FILTER (role = 'assistant')::INT AS n_answered,
-  coalesce(string_agg(md5(text), ',' ORDER BY md5(text)) FILTER (role = 'assistant'), '') AS answers
-FROM conversations GROUP BY conv_id"""
+    sql["list_normalize"] = f"""WITH turns AS (
+  SELECT conv_id, turn, role, list_filter(string_split(
+    regexp_replace(trim(text), {q(V.SENTENCE_END)}, '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '') AS said
+  FROM conversations)
+SELECT conv_id, turn, (CASE WHEN role = 'user' THEN len(said) ELSE 0 END)::INT AS n_asked,
+  (CASE WHEN role = 'assistant' THEN len(said) ELSE 0 END)::INT AS n_answered,
+  md5(CASE WHEN role = 'assistant' THEN array_to_string(said, '|') ELSE '' END) AS answer_md5 FROM turns"""
 
     sql["natural_left_join"] = """WITH d AS (
   SELECT doc_id, (CASE WHEN doc_id % 4 <> 0 THEN 1 END)::INT AS quality, n_chars FROM documents),

@@ -301,21 +301,20 @@ def filtered_read(spark, sf):
 
 @query
 def list_normalize(spark, sf):
-    """Turns of a conversation as lists; the assistant's list is null where it never speaks."""
-    talk = I.table(spark, sf, "conversations")
-    lists = talk.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("role") == "user", F.md5("text")))).alias("asked"),
-        F.nullif(
-            F.sort_array(F.collect_list(F.when(F.col("role") == "assistant", F.md5("text")))),
-            F.array().cast("array<string>"),
-        ).alias("answered"),
-    )
-    lists = tables.normalize_lists(lists)
-    return lists.select(
+    """Sentences of a turn as the list of its speaker; the other speaker's list is null."""
+    said = S.split_sentences(F.col("text"))
+    lists = I.table(spark, sf, "conversations").select(
         "conv_id",
+        "turn",
+        F.when(F.col("role") == "user", said).alias("asked"),
+        F.when(F.col("role") == "assistant", said).alias("answered"),
+    )
+    return tables.normalize_lists(lists).select(
+        "conv_id",
+        "turn",
         F.size("asked").alias("n_asked"),
         F.size("answered").alias("n_answered"),
-        F.array_join("answered", ",").alias("answers"),
+        F.md5(F.array_join("answered", "|")).alias("answer_md5"),
     )
 
 
@@ -398,8 +397,7 @@ def fetch_summary(spark, sf):
 
 @query
 def fetch_progress(spark, sf):
-    numbered = I.fetched_pages(spark, sf).select("page_id", "news_url")
-    outcomes = scrape.fetch_outcomes(I.fetched_pages(spark, sf)).join(numbered, "news_url")
+    outcomes = scrape.fetch_outcomes(I.fetched_pages(spark, sf), keep=["page_id"])
     return scrape.fetch_progress(outcomes, "page_id")
 
 
@@ -457,8 +455,8 @@ def tfidf_centrality(spark, sf):
     docs = I.documents(spark, sf).withColumn("n_tokens", token_count(F.col("text")))
     long_text = F.when(F.col("n_tokens") >= V.MAX_ARTICLE_TOKENS, F.col("text"))
     docs = docs.select("doc_id", S.split_sentences(long_text).alias("sentences"))
-    docs = docs.where(F.size("sentences") >= V.LOCAL_WINDOW)
-    docs = docs.select(
+    enough = F.size("sentences") >= V.LOCAL_WINDOW
+    docs = docs.withColumn("sentences", F.when(enough, F.col("sentences"))).select(
         "doc_id",
         S.sentence_words(F.col("sentences")).alias("n_words"),
         S.sentence_terms(F.col("sentences")).alias("terms"),

@@ -104,6 +104,24 @@ class Warehouse:
             rows = rows.where(filters_to_column(filters))
         return rows.select(*(columns or spec.schema.names))
 
+    def read_rows_of(self, name: str, ids: DataFrame) -> DataFrame:
+        """Rows whose key is among ``ids``, a semi join.
+
+        The key alone says nothing about partitions, so a first scan of key and partition columns
+        finds the partitions at hand; the wide scan then reads no others.
+        """
+        spec = self.tables[name]
+        rows = self.read_table(name)
+        if not self.exists(name):
+            return rows
+        by, keys = self._partition_columns(spec), ids.select(spec.key)
+        scan = self._scan(spec, self._data(spec))
+        where = scan.select(spec.key, *by).join(keys, spec.key, "left_semi").select(*by).distinct()
+        # At most one row per table partition.
+        labels = [self._label(spec, row) for row in where.collect()]
+        wanted = scan.where(self._label_column(spec).isin(labels)) if labels else scan.limit(0)
+        return wanted.join(keys, spec.key, "left_semi").select(*spec.schema.names)
+
     # -- writing ---------------------------------------------------------------------------
 
     def write_table(

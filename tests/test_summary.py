@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,17 @@ def test_quantile_and_positions(spark):
     assert all(got[(3, i)] == (0, 0) for i in range(3))
     assert [got[(4, i)] for i in range(4)] == [(1, 0), (0.75, 0), (0.5, 0), (0, 0)]
     assert [got[(5, i)] for i in range(5)] == [(1, 0), (0.75, 0), (0.5, 0), (0, 0.5), (0, 1)]
+
+
+def test_python_token_counter(spark):
+    @F.pandas_udf("int")
+    def count(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else len(t.split())).astype("Int64")
+
+    @F.pandas_udf("array<int>")
+    def count_all(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda ss: None if ss is None else [len(s.split()) for s in ss])
+
+    df = spark.createDataFrame([("One two three. " * 200,), ("Short.",)], "text string")
+    out = with_summary(df, "text", "s", max_tokens=60, token_counter=count, sentence_counter=count_all)
+    assert [len(r["s"].split()) for r in out.collect()] == [60, 1]

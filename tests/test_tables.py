@@ -1,4 +1,4 @@
-import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +137,15 @@ def test_filters(spark, warehouse):
     assert [r["id"] for r in got.collect()] == ["b"]
     with pytest.raises(ValueError):
         filters_to_column([("a", ">", 1)])
+
+
+def test_rows_of_ids_read_their_partitions_only(spark, warehouse):
+    warehouse.write_table("items", items(spark, *[(str(i), i, None, i % 5) for i in range(20)]))
+    ids = spark.createDataFrame([("1",), ("6",), ("none",)], "id string")
+    got = warehouse.read_rows_of("items", ids)
+    assert {r["id"] for r in got.collect()} == {"1", "6"}
+    assert {f.split("/")[-2] for f in got.inputFiles()} >= {"day=1"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*day", plan)
+    assert warehouse.read_rows_of("items", ids.where("id = 'none'")).count() == 0
+    assert warehouse.read_rows_of("flags", ids).count() == 0
