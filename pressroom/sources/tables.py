@@ -153,21 +153,23 @@ class Warehouse:
         rows.write.parquet(f"{stage}/source")
         source = self.spark.read.schema(self._stored_schema(spec)).parquet(f"{stage}/source")
         target = self._scan(spec, self._data(spec))
-        # Both results have at most one row per table partition.
-        new = source.groupBy(*by).count().collect()
-        old = (
-            target.select(spec.key, *by)
-            .join(source.select(spec.key), spec.key, "left_semi")
-            .groupBy(*by)
+        replaced = target.select(spec.key, *by).join(source.select(spec.key), spec.key, "left_semi")
+        # At most two rows per table partition: its new rows, and its rows about to be replaced.
+        counts = (
+            source.groupBy(*by)
             .count()
+            .withColumn("fresh", F.lit(True))
+            .unionByName(replaced.groupBy(*by).count().withColumn("fresh", F.lit(False)))
             .collect()
         )
-        total, updated = sum(r["count"] for r in new), sum(r["count"] for r in old)
+        total = sum(row["count"] for row in counts if row["fresh"])
+        updated = sum(row["count"] for row in counts if not row["fresh"])
         if total:
-            touched = sorted({self._label(spec, row) for row in new + old})
-            labels = self.spark.createDataFrame([(t,) for t in touched], "label string")
-            labels.coalesce(1).write.parquet(f"{stage}/touched")
-            current = target.where(self._label_column(spec).isin(touched))
+            filled = {self._label(spec, row) for row in counts if row["fresh"]}
+            touched = {self._label(spec, row) for row in counts}
+            if touched - filled:
+                self._note(f"{stage}/vacated", touched - filled)
+            current = target.where(self._label_column(spec).isin(sorted(touched)))
             merged = merge_rows(current, source, spec.key)
             self._write(spec, self._clustered(spec, merged), f"{stage}/merged")
             self._apply(spec, stage)
@@ -175,7 +177,10 @@ class Warehouse:
         return {"rows_inserted": total - updated, "rows_updated": updated}
 
     def _apply(self, spec: TableSpec, stage: str) -> None:
-        """Put the staged partitions in place; may be repeated."""
+        """Put the staged partitions in place; may be repeated.
+
+        A partition that only gave rows away may have none left, and is not overwritten then.
+        """
         by = self._partition_columns(spec)
         merged = self._scan(spec, f"{stage}/merged")
         (
@@ -184,10 +189,15 @@ class Warehouse:
             .partitionBy(*by)
             .parquet(self._data(spec))
         )
-        touched = {r["label"] for r in self.spark.read.parquet(f"{stage}/touched").collect()}
-        filled = {self._label(spec, row) for row in merged.select(*by).distinct().collect()}
-        for label in touched - filled:
-            self._delete(f"{self._data(spec)}/{label}")
+        if self._has(f"{stage}/vacated/_SUCCESS"):
+            vacated = {row["label"] for row in self.spark.read.parquet(f"{stage}/vacated").collect()}
+            filled = {self._label(spec, row) for row in merged.select(*by).distinct().collect()}
+            for label in vacated - filled:
+                self._delete(f"{self._data(spec)}/{label}")
+
+    def _note(self, path: str, labels: set[str]) -> None:
+        rows = self.spark.createDataFrame([(label,) for label in sorted(labels)], "label string")
+        rows.coalesce(1).write.parquet(path)
 
     def _finish_interrupted(self, spec: TableSpec) -> None:
         for stage in self._list(self._home(spec), "stage-"):
