@@ -40,4 +40,15 @@ def range_text(start: Column, end: Column) -> Column:
 
 
 def percent_text(part: Column, whole: Column) -> Column:
-    return F.format_string("%.1f%%", part / whole * 100)
+    """``part / whole`` in percent with one decimal, exact ties to the even digit.
+
+    Spark's own formatting rounds the shortest decimal form of a number, which puts ties, and
+    numbers that only look like ties, one step higher. Here ``twice`` is the exact sign of the
+    distance to the middle between two tenths: both differences are of numbers so close that
+    floating point subtracts them without error.
+    """
+    value = part / whole * 100
+    low = F.floor(value * 10)
+    twice = value * 4 - ((low * 2 + 1) - value * 16)
+    tenths = low + F.when(twice > 0, 1).when(twice < 0, 0).otherwise(low % 2)
+    return F.concat(F.floor(tenths / 10), F.lit("."), tenths % 10, F.lit("%"))

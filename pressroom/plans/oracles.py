@@ -482,7 +482,7 @@ FROM raw_scores WINDOW d AS (PARTITION BY doc_id)"""
 lengths AS (SELECT *, {space_words('sentence')} AS n_words FROM sentences WHERE n >= 3),
 {weight_ctes('doc_id')}, {tfidf_ctes('doc_id')}, {centrality_ctes('doc_id')}
 SELECT doc_id, idx::INT AS idx, round(centrality, 6) AS centrality,
-  round(round(0.75 * centrality + 0.2 * {INTRO} + 0.05 * {CONCLUSION}, 9), 6) AS score FROM central"""
+  round(0.75 * centrality + 0.2 * {INTRO} + 0.05 * {CONCLUSION}, 9) AS score FROM central"""
     sql["summary"] = f"""WITH {docs}, {summary_ctes('docs', 'doc_id')}
 SELECT doc_id, md5(summary) AS summary_md5, {tokens('summary')} AS n_tokens FROM summaries"""
 

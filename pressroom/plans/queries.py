@@ -467,7 +467,7 @@ def tfidf_centrality(spark, sf):
         "doc_id",
         "idx",
         F.round("row.centrality", 6).alias("centrality"),
-        F.round("row.score", 6).alias("score"),
+        F.col("row.score").alias("score"),
     )
 
 

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pressroom.functions.dates import parse_feed_date
+from pressroom.functions.dates import parse_feed_date, percent_text
 from pressroom.operators import ingest, scrape, status
 from pressroom.operators.articles import natural_left_join, with_selected_text
 from pressroom.plans.news import process_news
@@ -140,6 +140,13 @@ def test_outcomes(spark):
     assert tuple(scrape.fetch_summary(out).first()) == (7, 1, "14.3%")
 
 
+def test_percent_text(spark):
+    pairs = [(i, n) for n in (7, 40, 160, 400, 800, 2000) for i in range(n + 1)]
+    rows = spark.createDataFrame(pairs, "id long, n long").select("id", "n", percent_text(F.col("id"), F.col("n")).alias("text"))
+    for row in rows.collect():
+        assert row["text"] == f"{row['id'] / row['n'] * 100:.1f}%"
+
+
 def test_extraction(spark):
     html = """<!DOCTYPE html><html><head><title>No</title><script>var a="</p>";</script></head><body>
       <nav><a href="/">Home</a></nav><div class="side ad">Buy</div><!-- <p>hidden</p> -->
