@@ -28,12 +28,11 @@ NUMERIC_ENTITY = r"(?s)^#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 def _numeric_entity(part: Column) -> Column:
     """``#8217;rest`` or ``#x2019;rest``, as found after an ampersand, to its character."""
     digits = F.regexp_extract(part, r"^#[xX]?([0-9A-Fa-f]+);", 1)
-    base = F.when(part.rlike("^#[xX]"), F.lit(16)).otherwise(F.lit(10))
-    code = F.when(part.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
-    code = F.when(base.isNotNull(), code.cast("bigint"))
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    code = F.when(part.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
     valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.when(valid, F.concat(char, F.regexp_replace(part, NUMERIC_ENTITY, ""))).otherwise("")
+    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    rest = F.regexp_replace(part, NUMERIC_ENTITY, "")
+    return F.concat(F.coalesce(char, F.lit("\ufffd")), rest)
 
 
 def unescape(text: Column) -> Column:

@@ -150,14 +150,14 @@ def test_percent_text(spark):
 def test_extraction(spark):
     html = """<!DOCTYPE html><html><head><title>No</title><script>var a="</p>";</script></head><body>
       <nav><a href="/">Home</a></nav><div class="side ad">Buy</div><!-- <p>hidden</p> -->
-      <article><h1>Title &amp; more</h1><p><b>Bold</b> text<br>line &copy; &#8217;x&#x2019; &amp;lt;</p>
+      <article><h1>Title &amp; more</h1><p><b>Bold</b> text<br>line &copy; &#8217;x&#x2019; &amp;lt; &#9999999;end &nope; R&D</p>
       <p><a href="x">only a link here</a> to</p><table><tr><td>1</td></tr></table></article>
       <footer>&copy; host</footer></body></html>"""
     fallback = "<html><body><p><a href='x'>A linked</a></p><p><a>Another link</a></p></body></html>"
     df = spark.createDataFrame([(1, "http://h/1", html), (2, "http://h/2", fallback), (3, "x", None)], "id int, url string, html string")
     got = {r["id"]: r["full_text"] for r in scrape.extract_text(df, "id").collect()}
     assert got == {
-        1: "Title & more\nBold text\nline © ’x’ &lt;",
+        1: "Title & more\nBold text\nline © ’x’ &lt; \ufffdend &nope; R&D",
         2: "A linked\nAnother link",
         3: None,
     }

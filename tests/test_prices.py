@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from pressroom.operators import prices
 from pressroom.plans.prices import store_prices

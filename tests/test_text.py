@@ -1,7 +1,6 @@
 import random
 import re
 
-from pyspark.sql import functions as F
 
 from pressroom import fixed_values as V
 from pressroom.functions.text import curate, measure, with_clean_text, with_spam_score
