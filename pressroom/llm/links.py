@@ -62,9 +62,14 @@ def host_rules(hosts: DataFrame, rules: list[Rule]) -> DataFrame:
     """
     if len(rules) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
-    spec = "suffix string, size int, rule string, path string, action string"
-    known = [(r.host, -len(r.text), r.text, "/" + r.path, r.action) for r in dict.fromkeys(rules)]
-    listed = hosts.sparkSession.createDataFrame(known, spec)
+    known = [
+        F.struct(
+            F.lit(r.host).alias("suffix"), F.lit(-len(r.text)).alias("size"), F.lit(r.text).alias("rule"),
+            F.lit("/" + r.path).alias("path"), F.lit(r.action).alias("action"),
+        )
+        for r in dict.fromkeys([*rules, Rule("", "", "")])
+    ]
+    listed = hosts.sparkSession.range(1).select(F.inline(F.array(*known))).filter("action != ''")
     each = hosts.select("host", F.explode(suffixes(F.col("host"))).alias("suffix"))
     met = each.join(listed, "suffix")
     return met.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("size", "rule", "path", "action"))).alias("rules"))
