@@ -67,11 +67,12 @@ class Network:
 
     def _group(self, texts: list[bytes]) -> np.ndarray:
         blocks = np.array([max(1, -(-len(t) // BLOCK)) for t in texts])
-        padded = b"".join([t.ljust(n * BLOCK, b"\0") for t, n in zip(texts, blocks.tolist())])
+        # A block of zeros parts each text from the next, whose bytes its last windows must not see.
+        padded = b"".join([t.ljust((n + 1) * BLOCK, b"\0") for t, n in zip(texts, blocks.tolist())])
         data = np.frombuffer(padded + bytes(WIDTH - 1), np.uint8)
         greatest = np.maximum(self.block_greatest(data) + self.bias, 0)
         chunks = np.maximum(1, -(-(blocks - (BLOCKS - STEP)) // STEP))
-        first = np.cumsum(blocks) - blocks
+        first = np.cumsum(blocks + 1) - blocks - 1
         number = np.arange(chunks.sum()) - np.repeat(np.cumsum(chunks) - chunks, chunks)
         start = np.repeat(first, chunks) + number * STEP
         stop = np.minimum(start + BLOCKS, np.repeat(first + blocks, chunks))

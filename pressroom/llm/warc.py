@@ -227,7 +227,10 @@ def reassemble(records: DataFrame) -> DataFrame:
 
 
 def decoded(records: DataFrame) -> DataFrame:
-    """Whole records with ``payload`` instead of ``block``: transfer framing decoded; null where it is broken."""
+    """Whole records with ``payload`` instead of ``block``: transfer framing decoded.
+
+    Null where the framing is broken or absent, as in revisits.
+    """
 
     @F.arrow_udf("binary")
     def payload(blocks: pa.Array) -> pa.Array:
