@@ -85,30 +85,20 @@ def rule_for(path: Column, rules: Column) -> Column:
 
 
 def host_links(pages: DataFrame, html_col: str) -> DataFrame:
-    """``(src, dst, weight)`` between different hosts: pages of ``host`` with absolute links, counted before the shuffle.
-
-    A host also has one link to and from the next parent domain that has pages.
-    """
+    """``(src, dst, weight)`` between different hosts: absolute links of the pages of ``host``, counted before the shuffle."""
     found = F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(r"(?i)(?:href|src)\s*=\s*[\"']?([a-z]+://[^\s\"'<>]+)"), 1)
     links = pages.select(F.col("host").alias("src"), F.explode(found).alias("url"))
     links = links.select("src", host_of(F.col("url")).alias("dst")).filter("dst != '' and src != '' and src != dst")
-    hosts = pages.select("host").distinct().filter("host != ''")
-    parents = hosts.select("host", F.posexplode(suffixes(F.col("host"))).alias("place", "parent")).filter("place > 0")
-    near = parents.join(hosts.select(F.col("host").alias("parent")), "parent").groupBy("host")
-    near = near.agg(F.min_by("parent", "place").alias("parent"))
-    family = near.select(F.col("host").alias("src"), F.col("parent").alias("dst")).union(
-        near.select(F.col("parent").alias("src"), F.col("host").alias("dst"))
-    )
-    return links.union(family).groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return links.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
 def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """``(host, trust, distrust)`` by personalised PageRank from ``seeds(host, trust, distrust)``.
 
-    Trust follows links, distrust goes against them, from the linked to the linking host. A host
-    keeps ``1 - damping`` of its own seed in each round and shares what it has by link weight;
-    what a host without links would share is its own. Values are scaled so that a seed of 1
-    without links has 1. Both walks are one join a round; hubs are salted.
+    Trust follows links, distrust goes against them, from the linked to the linking host. In each
+    round a host has its seed and ``damping`` of what its neighbours share by link weight, which is
+    personalised PageRank in units of the restart: a seed of 1 without links has 1. Both walks are
+    one join a round; hubs are salted.
     """
     ways = edges.select(F.lit(0).alias("way"), F.col("src").alias("host"), F.col("dst").alias("to"), "weight").union(
         edges.select(F.lit(1).alias("way"), F.col("dst").alias("host"), F.col("src").alias("to"), "weight")
@@ -116,14 +106,10 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     sums = ways.groupBy("way", "host").agg(F.sum("weight").alias("total"))
     ways = salted_join(ways, sums, ["way", "host"], by="to")
     ways = save(ways.select("way", "host", "to", (F.col("weight") / F.col("total")).alias("share")), "ways")
-    shares = sums.groupBy("host").agg(
-        F.max(F.col("way") == 0).alias("gives"), F.max(F.col("way") == 1).alias("gets")
+    start = save(
+        seeds.select("host", F.col("trust").alias("own_trust"), F.col("distrust").alias("own_distrust")), "seeds"
     )
-    start = seeds.join(shares, "host", "left")
-    for name, has in (("trust", "gives"), ("distrust", "gets")):
-        alone = ~F.coalesce(has, F.lit(False))
-        start = start.withColumn(f"own_{name}", F.when(alone, F.col(name)).otherwise((1 - damping) * F.col(name)))
-    start = save(start.select("host", "own_trust", "own_distrust", F.col("own_trust").alias("trust"), F.col("own_distrust").alias("distrust")), "seeds")
+    start = start.withColumns({"trust": F.col("own_trust"), "distrust": F.col("own_distrust")})
     now = start
     for i in range(rounds):
         value = F.when(F.col("way") == 0, F.col("trust")).otherwise(F.col("distrust"))
