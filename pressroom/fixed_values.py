@@ -82,7 +82,7 @@ TOKEN = r"\p{L}{1,4}|\p{N}{1,3}|[^\s\p{L}\p{N}]"
 WHITESPACE = r"[ \t\r\n\f]+"
 SENTENCE_END = r"([.!?])[ \t\r\n\f]+"
 EXCLAMATION_RUN = r"!{2,}"
-URL = r"(?:https?://|ftp://|www[0-9]{0,3}\.)[^\s<>]+"
+URL = r"(?i:https?://|ftp://|www[0-9]{0,3}\.)[^\s<>]+"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
 PHONE_BODY = (

@@ -20,13 +20,18 @@ def emoji_class() -> str:
 NON_ASCII = r"[^\x00-\x7F]"
 CONTROL = r"\x1B\[[0-9;]*[A-Za-z]|[\x00-\x08\x0B\x0E-\x1F\x7F-\x84\x86-\x9F]"
 ASCII_RUN = r"[\x00-\x7F]+"
-# Keeps emoji, with their joiners and variation marks, as group 1; anything else left over from
-# transliteration falls outside the group.
-EMOJI_OR_OTHER = rf"([{emoji_class()}](?:[\x{{FE0F}}\x{{200D}}]+[{emoji_class()}]?)*)|{NON_ASCII}"
+# Keeps an emoji, with the joiners and variation marks after it, as group 1; anything else left over
+# from transliteration falls outside the group. No group repeats, so that a long run needs no stack.
+EMOJI_OR_OTHER = rf"([{emoji_class()}][\x{{FE0F}}\x{{200D}}]*)|{NON_ASCII}"
 # The look-ahead turns down ASCII at once; the emoji class is a long list of ranges.
 KEEP_EMOJI = rf"(?={NON_ASCII})(?:{EMOJI_OR_OTHER})"
 
-_UTF8_RUN = r"[\xC2-\xDF][\x80-\xBF]|[\xE0-\xEF][\x80-\xBF]{2}|[\xF0-\xF4][\x80-\xBF]{3}"
+# Valid UTF-8 alone: no overlong forms, surrogates or code points past the last.
+_UTF8_RUN = (
+    r"[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}"
+    r"|\xED[\x80-\x9F][\x80-\xBF]|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}"
+    r"|\xF4[\x80-\x8F][\x80-\xBF]{2}"
+)
 
 
 @cache
@@ -157,7 +162,7 @@ def with_clean_text(
     )
     df = step(df, lambda t: ~is_ascii(t), latin_to_ascii)
     df = step(df, lambda t: ~is_ascii(t), drop_non_ascii)
-    df = step(df, lambda t: t.contains("://") | t.contains("www"), replace_urls)
+    df = step(df, lambda t: t.rlike("://|[wW]{3}"), replace_urls)
     if no_emails:
         df = step(
             df, lambda t: t.contains("@"), lambda t: F.regexp_replace(t, V.EMAIL, "<EMAIL>")

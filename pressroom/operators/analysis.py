@@ -171,6 +171,13 @@ def decode_single(responses: DataFrame, content: str = "content") -> DataFrame:
 
 
 def analysed_rows(valid: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Valid responses with the dates of their articles; ids without an article are left out."""
+    """Valid responses with the dates of their articles; see ``unknown_responses`` for the others."""
     dates = cleaned.select("news_id", "date_utc", "year_utc", "month_utc", "day_utc")
     return valid.join(dates, "news_id").select(*ANALYSED.names)
+
+
+def unknown_responses(valid: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Valid responses whose id has no article, shaped as rejected ones."""
+    return valid.join(cleaned.select("news_id"), "news_id", "left_anti").select(
+        "batch_id", "pos", "news_id", F.lit("no article with this id").alias("reason")
+    )

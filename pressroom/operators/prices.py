@@ -46,7 +46,7 @@ def keep_last_bars(old: DataFrame, new: DataFrame) -> DataFrame:
     both = old.withColumn("_batch", F.lit(0)).unionByName(
         new.withColumn("_batch", F.lit(1)), allowMissingColumns=True
     )
-    order = [F.col("_batch").desc()] + [F.col(c).desc() for c in ("volume", "close", "open")]
+    order = [F.col("_batch").desc()] + [F.col(c).desc() for c in ("volume", "close", "open", "high", "low")]
     rank = F.row_number().over(Window.partitionBy("ticker", "date").orderBy(*order))
     return both.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank", "_batch")
 

@@ -9,6 +9,7 @@ from pressroom.operators.analysis import (
     batch_requests,
     parse_responses,
     rejected_responses,
+    unknown_responses,
     valid_responses,
 )
 from pressroom.operators.status import advance, pending_analysis, rows_of
@@ -26,7 +27,7 @@ def pending_requests(warehouse: Warehouse) -> DataFrame:
 
 
 def store_responses(warehouse: Warehouse, responses: DataFrame, strict: bool = False) -> DataFrame:
-    """Store valid analyses, mark their articles, and return the rejected items."""
+    """Store valid analyses, mark their articles, and return the rejected items, unknown ids among them."""
     parsed = parse_responses(responses, strict)
     cleaned = warehouse.read_table("cleaned_data")
     warehouse.write_table(
@@ -39,4 +40,4 @@ def store_responses(warehouse: Warehouse, responses: DataFrame, strict: bool = F
     warehouse.write_table(
         "article_status_data", advance(rows_of(todo, done), done, "llm_data"), unique=True
     )
-    return rejected_responses(parsed)
+    return rejected_responses(parsed).unionByName(unknown_responses(valid_responses(parsed), cleaned))

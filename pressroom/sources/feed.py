@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pressroom import fixed_values as V
 from pressroom.functions.dates import request_range
@@ -15,7 +15,8 @@ def read_feed_pages(
     """Landed JSON pages, one object per line; days bound a ``landed=YYYY-MM-DD`` folder level."""
     pages = spark.read.schema(FEED_PAGE).json(path)
     if first_day or last_day:
-        pages = spark.read.schema(FEED_PAGE.add("landed", "date")).json(path)
+        dated = T.StructType([*FEED_PAGE.fields, T.StructField("landed", T.DateType())])
+        pages = spark.read.schema(dated).json(path)
         if first_day:
             pages = pages.where(F.col("landed") >= F.lit(first_day).cast("date"))
         if last_day:

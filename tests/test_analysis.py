@@ -122,7 +122,10 @@ def test_analysis_stage(spark, tmp_path):
     lines = [json.dumps([variant("1"), variant("2", positive=2)]), json.dumps([variant("unknown")])]
     (answers / "a.txt").write_text("\n".join(lines))
     rejected = store_responses(warehouse, read_responses(spark, str(answers)))
-    assert [(r["news_id"], r["reason"]) for r in rejected.collect()] == [("2", "invalid positive")]
+    assert [(r["news_id"], r["reason"]) for r in rejected.collect()] == [
+        ("2", "invalid positive"),
+        ("unknown", "no article with this id"),
+    ]
     stored = warehouse.read_table("llm_data").collect()
     assert [(r["news_id"], r["day_utc"], r["risk_factors"]) for r in stored] == [("1", 5, [])]
     assert {r["custom_id"] for r in pending_requests(warehouse).collect()} == {"article_2"}

@@ -251,3 +251,16 @@ def test_stream_import(spark, tmp_path):
     rows = warehouse.read_table("raw_data").collect()
     assert len(rows) == 3
     assert {r["news_url"] for r in rows} == {"u", "https://h.example/3", "https://h.example/4"}
+
+
+def test_bounded_feed_read_leaves_later_reads_alone(spark, tmp_path):
+    for day in ("2024-01-01", "2024-01-02"):
+        folder = tmp_path / "feed" / f"landed={day}"
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text('{"page": 1, "total_pages": 1, "data": []}')
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    (flat / "a.json").write_text('{"page": 1, "total_pages": 1, "data": []}')
+    for _ in range(2):
+        assert read_feed_pages(spark, str(tmp_path / "feed"), first_day="2024-01-02").count() == 1
+    assert read_feed_pages(spark, str(flat)).count() == 1

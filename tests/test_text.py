@@ -39,6 +39,16 @@ def test_cleaning_edges(spark):
     ]
 
 
+def test_hard_rows_neither_fail_nor_stall(spark):
+    marks = "\u2764\ufe0f" * 500_000
+    assert cleaned(spark, marks, "price à€€ today", "í€€ ð€€€ x", "HTTPS://A.Example/x WWW.b.example") == [
+        marks,
+        "price aEUREUR today",
+        "iEUREUR dEUREUREUR x",
+        "<URL> <URL>",
+    ]
+
+
 def test_optional_cleaning(spark):
     assert cleaned(spark, "mail a.b@c.example 3.5 times!", no_emails=True, no_numbers=True) == [
         "mail <EMAIL> <NUMBER> times!"
