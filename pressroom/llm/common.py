@@ -17,7 +17,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin what results depend on; Arrow batches are bounded by bytes, so long texts stay few."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
