@@ -53,9 +53,14 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix to the sources' target weights takes it."""
+    """Each document as often as the mix to the sources' target weights takes it.
+
+    Documents without id are told apart by a hash of their text and source.
+    """
     prepare(spark)
-    return mixing.repeated(docs, mixing.mix(docs)).select(docs.columns)
+    keyed = docs.withColumn("_mixed_id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text", "source")))
+    mixed = mixing.mix(keyed, id_col="_mixed_id")
+    return mixing.repeated(keyed, mixed, id_col="_mixed_id").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
