@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pressroom.session import configure, work_dir
 
@@ -66,10 +67,36 @@ def salted_join(
     return dealt.join(copies, [*keys, salt], how).drop(salt)
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system.
+
+    Workers live from stage to stage beside a JVM under one memory limit, and both allocators would
+    keep the pages of their greatest need.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 def map_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | T.StructType,
 ) -> DataFrame:
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` that gives freed memory back after each batch and at the end of the task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        yield from function(each())
+        give_back()
+
+    return df.mapInArrow(work, schema)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

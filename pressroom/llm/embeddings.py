@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import is_empty, salted_join, save
+from pressroom.llm.common import is_empty, map_batches, salted_join, save
 from pressroom.llm.neardup import bucket_edges, classes, fixed_rows, split_buckets
 from pressroom.llm.textkit import mix, seeds
 
@@ -77,7 +77,7 @@ def vector_rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             arrays = [batch.column(0), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return rows.mapInArrow(work, "id long, k1 long, k2 long, vec binary")
+    return map_batches(rows, work, "id long, k1 long, k2 long, vec binary")
 
 
 def table_entries(distinct: DataFrame, rotations: np.ndarray, bits: int, tables: int) -> DataFrame:
@@ -99,7 +99,7 @@ def table_entries(distinct: DataFrame, rotations: np.ndarray, bits: int, tables:
                 keys = mix(part ^ salt[t]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("id"), codes], schema=schema)
 
-    return distinct.select("id", "vec").mapInArrow(work, "key long, id long, code binary")
+    return map_batches(distinct.select("id", "vec"), work, "key long, id long, code binary")
 
 
 def cosine_linker(dim: int, threshold: float):

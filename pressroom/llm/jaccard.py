@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import is_empty, salted_join, save
+from pressroom.llm.common import is_empty, map_batches, salted_join, save
 from pressroom.llm.neardup import bucket_edges, classes, fixed_rows, split_buckets
 from pressroom.llm.textkit import mix, seeds, shingles
 
@@ -72,7 +72,7 @@ def describe_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.binary())], schema=schema)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return narrow.filter("id is not null").mapInArrow(work, "id long, k1 long, k2 long, n long, mh binary")
+    return map_batches(narrow.filter("id is not null"), work, "id long, k1 long, k2 long, n long, mh binary")
 
 
 def deal(rows: DataFrame, rounds: int, threshold: float) -> DataFrame:
@@ -103,7 +103,7 @@ def deal(rows: DataFrame, rounds: int, threshold: float) -> DataFrame:
                 )
 
     columns = ["key", "id", "mh"] if below else ["id", "mh"]
-    return rows.select(*columns).mapInArrow(work, "key long, id long, code binary")
+    return map_batches(rows.select(*columns), work, "key long, id long, code binary")
 
 
 def candidate_edges(sets: DataFrame, threshold: float, recall: float, bucket: int, depth: int) -> DataFrame:

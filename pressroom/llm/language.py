@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.common import salted_join, save
+from pressroom.llm.common import give_back, map_batches, salted_join, save
 from pressroom.llm.textkit import folded, pieces_of
 
 BINS = 1 << 16
@@ -92,7 +92,7 @@ def fit(
             names = ["lang", "bin", "n"]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(seen[at])], names)
 
-    counted = sample.mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    counted = map_batches(sample, count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     counts = np.zeros((BINS, len(languages)))
     for batch in counted.toArrow().to_batches():
         column = np.array([languages.index(x) for x in batch.column(0).to_pylist()], np.int64)
@@ -109,6 +109,7 @@ def text_evidence(model: TextModel, text: Column) -> Column:
 
     @F.arrow_udf("struct<means:array<double>,n:long>")
     def evidence(texts: pa.Array) -> pa.Array:
+        give_back()
         means, counts = model.means(texts.to_pylist())
         return pa.StructArray.from_arrays([pa.array(list(means), pa.list_(pa.float64())), pa.array(counts)], ["means", "n"])
 

@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from pressroom.llm.common import save
+from pressroom.llm.common import give_back, save
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -20,6 +20,7 @@ BUCKETS = 1024
 @F.arrow_udf(T.LongType())
 def word_count(texts: pa.Array) -> pa.Array:
     """Runs of characters other than space and U+0009 to U+000D; a null text has none."""
+    give_back()
     return pa.array([len(t.split()) if t else 0 for t in texts.cast(pa.binary()).to_pylist()], pa.int64())
 
 

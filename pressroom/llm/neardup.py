@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import runs, salted_join, save
+from pressroom.llm.common import map_batches, runs, salted_join, save
 from pressroom.llm.components import components
 
 Near = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -100,7 +100,7 @@ def bucket_edges(entries: DataFrame, width: int, near: Near) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     dealt = entries.select("key", "id", "code").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(work, "a long, b long")
+    return map_batches(dealt, work, "a long, b long")
 
 
 def split_buckets(entries: DataFrame, big: DataFrame, size: int) -> DataFrame:
@@ -179,7 +179,7 @@ def compare_blocks(dealt: DataFrame, linker: Linker) -> DataFrame:
 
     columns = ["pair", "diagonal", "block", "id", "copies", "payload"]
     dealt = dealt.select(*columns).repartition("pair").sortWithinPartitions("pair", "id", F.xxhash64("payload"))
-    return dealt.mapInArrow(work, "id long, root long, links long")
+    return map_batches(dealt, work, "id long, root long, links long")
 
 
 def classes(

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pressroom.llm.common import runs
+from pressroom.llm.common import map_batches, runs
 from pressroom.llm.neardup import starts_of
 from pressroom.llm.textkit import pieces_of, span_hashes
 
@@ -194,7 +194,7 @@ def token_pieces(
             )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    out = narrow.mapInArrow(work, "id long, piece int, start long, length long, ids binary")
+    out = map_batches(narrow, work, "id long, piece int, start long, length long, ids binary")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -267,7 +267,7 @@ def pack(
                 yield from part.combine_chunks().to_batches()
 
     dealt = dealt.repartition("_shard").sortWithinPartitions("_shard", *keys)
-    return dealt.mapInArrow(work, out_schema)
+    return map_batches(dealt, work, out_schema)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.common import save
+from pressroom.llm.common import give_back, save
 from pressroom.llm.textkit import folded, pieces_of, span_hashes, word_spans
 
 #: Grades are 0 (not toxic) to GRADES - 1.
@@ -119,6 +119,7 @@ def fit(
 
     @F.arrow_udf("array<long>")
     def keys_of(texts: pa.Array) -> pa.Array:
+        give_back()
         return pa.array([features(t)[0].view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
     sizes = dict(sample.groupBy("_label").count().collect())
@@ -166,6 +167,7 @@ def grade(model: Ordinal) -> Callable[[Column], Column]:
 
     @F.arrow_udf("struct<severity:double,p_toxic:double,grade:int>")
     def graded(texts: pa.Array) -> pa.Array:
+        give_back()
         p = model.exceed(texts.to_pylist())
         columns = [pa.array(p.sum(axis=1)), pa.array(p[:, 0]), pa.array((p >= 0.5).sum(axis=1).astype(np.int32))]
         return pa.StructArray.from_arrays(columns, ["severity", "p_toxic", "grade"])
