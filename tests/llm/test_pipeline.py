@@ -57,6 +57,23 @@ def test_stages_on_nulls_repeats_and_empty_tables(session, tmp_path):
         assert (docs.count() > 0) == bool(data)
 
 
+def test_mixing_keeps_documents_without_id(session):
+    spec = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "one two three", "en", "a", 13), (None, "four five six", "en", "a", 13), (None, "seven", None, None, 5)]
+    docs = session.createDataFrame(rows, spec)
+    mixed = corpus_pipeline.mix_sources(session, docs, SF)
+    assert mixed.columns == docs.columns
+    size = {r["text"]: len(r["text"].split()) for r in docs.collect()}
+    taken = {None: 0, "a": 0}
+    for r in mixed.collect():
+        assert r["doc_id"] == {"one two three": 1}.get(r["text"])
+        taken[r["source"]] += size[r["text"]]
+    # 150% of 7 words: 10.5, of which source a (weight 5) gets 7.5 and the null source (weight 2) stops at 2.
+    # The excess goes to a: 8.5, which documents of 3 words come nearest to from below with 6.
+    assert taken == {"a": 6, None: 2}
+    assert any(r["doc_id"] is None and r["source"] == "a" for r in mixed.collect())
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_queries_return_a_row_for_each_row(session):
     tables = {"op1": "pages", "op4": "pages", "op7": "embeddings"}
