@@ -30,8 +30,10 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins over it, and ends the last id of every part of
     a word with a word-end mark; so a text's ids are those of its words in a row, and new parts are
-    encoded many at a time and told apart by that mark. Words are known by a 64-bit hash, looked up
-    for all words of about a megabyte of text at once.
+    encoded many at a time and told apart by that mark. Added tokens (end of text and the like)
+    hold no white space and end without the mark: the tokenizer itself encodes a word that holds
+    one. Words are known by a 64-bit hash, looked up for all words of about a megabyte of text at
+    once.
     """
 
     def __init__(self, path: str):
@@ -43,7 +45,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Added tokens are found in the text as it is, before case and parts; they stand in no cached unit.
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -82,7 +85,9 @@ class WordEncoder:
         split = []
         for word in (w.decode("utf-8", "replace") for w in words):
             # Latin letters are composed already, and their lower case does not depend on others.
-            split.append(self.split(word.lower()) if word.isascii() or not self.beyond_latin(word) else word)
+            latin = word.isascii() or not self.beyond_latin(word)
+            marked = any(token in word for token in self.added)
+            split.append(self.split(word.lower()) if latin and not marked else word)
         wanted = {u for parts in split if type(parts) is list for u in parts}
         if len(self.units) > CACHE:
             self.older, self.units = self.units, {}

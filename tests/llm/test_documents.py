@@ -281,6 +281,26 @@ def test_pieces_hold_the_tokenizers_ids(documents):
     assert ids == {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
 
 
+def test_pieces_hold_the_ids_of_added_tokens(documents):
+    from tokenizers import Tokenizer
+
+    end, start = "<|endoftext|>", "<|startoftext|>"
+    texts = [
+        f"a{end}b", start, f"{start}{end}", f"x {end} {start}y\n{end}", f"don'{end}t I{start}'m", end.upper(), end[:-1],
+        f"<|{end}", f"e{end}\u0301", f"ΣΑΣ{end}ΣΑΣ é{start}É", f"\u3000{end}\xa0{end}\x1c", "<|end oftext|>", f"a{end}" * 3000,
+        "w " * 700_000 + f"w{end}w {start} " + "v " * 300_000,
+    ]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert want[0] == [320, 49407, 321, 1] and want[1] == [49406, 1]
+    rows = packing.token_pieces(documents([(i, t, None) for i, t in enumerate(texts)]), tokenizer_path(), 512).collect()
+    ids = {i: [] for i in want}
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["piece"])):
+        assert (r["start"], r["length"]) == (len(ids[r["doc_id"]]), len(r["ids"]) // 4)
+        ids[r["doc_id"]].extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert ids == want
+
+
 def test_cache_turnover_changes_nothing(monkeypatch):
     monkeypatch.setattr(packing, "CACHE", 20)
     rng = random.Random(7)
