@@ -8,7 +8,7 @@ the last return the columns of ``documents``. No stage looks at columns other th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pressroom.llm import jaccard, language, mixing, packing, toxicity
 from pressroom.llm.common import prepare, save, table
@@ -19,14 +19,18 @@ from pressroom.session import work_dir
 ORACLE_SQL = None
 
 
+def with_rows(docs: DataFrame, purpose: str) -> DataFrame:
+    """``docs`` with a unique number ``_row``, written, so that every later read has the same numbers."""
+    return save(docs.withColumn("_row", F.monotonically_increasing_id()), purpose)
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; those without id are judged by their text alone."""
+    """Documents whose language is identified; each row is judged, and those without id have no page's evidence."""
     spark = prepare(spark)
-    judged = language.identify(docs, document_pages(table(spark, sf_dir, "pages")))
-    rejected = save(judged.filter("not kept").select("doc_id").distinct(), "rejected")
-    known = docs.filter("doc_id is not null").join(rejected, "doc_id", "left_anti").select(docs.columns)
-    model_free = docs.filter("doc_id is null and text rlike '[A-Za-z]'")
-    return known.union(model_free)
+    rows = with_rows(docs, "language-rows")
+    judged = language.identify(rows, document_pages(table(spark, sf_dir, "pages")), row_col="_row")
+    rejected = save(judged.filter("not kept").select("_row"), "rejected")
+    return rows.join(rejected, "_row", "left_anti").select(docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,27 +42,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each near-duplicate class; documents without id stay."""
+    """The document with the least id of each near-duplicate class, one without id where none has any.
+
+    Every row is compared, whether it has an id or shares one with others; ties go by content.
+    """
     prepare(spark)
-    classes = jaccard.jaccard_classes(docs)
-    copies = save(classes.filter("doc_id != class_id").select("doc_id").distinct(), "copies")
-    rest = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
-    # A repeated id is one document: the least of its texts stays.
-    again = save(
-        rest.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "again"
+    rows = with_rows(docs, "class-rows")
+    order = F.struct(
+        F.col("doc_id").isNull().alias("without"), "doc_id", F.xxhash64("text", "lang", "source").alias("hash"), "_row"
     )
-    single = rest.join(again, "doc_id", "left_anti")
-    doubled = rest.join(again.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.select(docs.columns).union(doubled.select(docs.columns))
+    classes = jaccard.jaccard_classes(rows, id_col="_row").select("_row", "class_id")
+    least = classes.join(rows.select("_row", order.alias("order")), "_row").groupBy("class_id").agg(F.min("order").alias("o"))
+    kept = save(least.select("o._row"), "kept")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix to the sources' target weights takes it.
 
-    Documents without id are told apart by a hash of their text and source.
+    Rows are told apart by their id; those without one by a hash of their content, and rows that
+    share either by a number, in the order of their content.
     """
     prepare(spark)
-    keyed = docs.withColumn("_mixed_id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text", "source")))
+    content = F.xxhash64("text", "lang", "source")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), content))
+    number = F.row_number().over(Window.partitionBy("_name").orderBy(content, "text", "lang", "source"))
+    named = docs.withColumn("_name", name).withColumn("_number", number)
+    again = F.concat("_name", F.lit("#"), "_number")
+    keyed = named.withColumn("_mixed_id", F.when(F.col("_number") == 1, F.col("_name")).otherwise(again))
+    keyed = save(keyed.drop("_name", "_number"), "mix-rows")
     mixed = mixing.mix(keyed, id_col="_mixed_id")
     return mixing.repeated(keyed, mixed, id_col="_mixed_id").select(docs.columns)
 

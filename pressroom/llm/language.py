@@ -209,9 +209,9 @@ def fuse(rows: DataFrame, model: TextModel, by: str = "id") -> DataFrame:
 
 def identify(
     docs: DataFrame, evidence: DataFrame | None = None, model: TextModel | None = None,
-    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", row_col: str | None = None,
 ) -> DataFrame:
-    """``(id, lang, confidence, text_lang, declared, host, kept)`` per row of ``docs``.
+    """``(id, lang, confidence, text_lang, declared, host, kept)`` per row of ``docs``, and ``row_col`` where given.
 
     ``evidence(id, declared, suffix, domain, host)`` has one row per id at most. Null and empty
     texts and texts without letters are not kept; a null id or one without evidence has its text
@@ -220,11 +220,13 @@ def identify(
     """
     if model is None:
         model = fit(docs, id_col, text_col, lang_col)
-    rows = docs.select(F.col(id_col).alias("id"), text_evidence(model, F.col(text_col)).alias("text"))
+    row = [F.col(row_col).alias("_row")] if row_col else []
+    rows = docs.select(F.col(id_col).alias("id"), text_evidence(model, F.col(text_col)).alias("text"), *row)
     columns = ["declared", "suffix", "domain", "host"]
     if evidence is None:
         rows = rows.select("*", *[F.lit(None).cast("string").alias(c) for c in columns])
     else:
         rows = rows.join(evidence.select(F.col(id_col).alias("id"), *columns), "id", "left")
-    out = fuse(save(rows, "evidence"), model)
-    return out.select(F.col("id").alias(id_col), "lang", "confidence", "text_lang", "declared", "host", "kept")
+    out = fuse(save(rows, "evidence"), model, by="_row" if row_col else "id")
+    row = [F.col("_row").alias(row_col)] if row_col else []
+    return out.select(F.col("id").alias(id_col), "lang", "confidence", "text_lang", "declared", "host", "kept", *row)

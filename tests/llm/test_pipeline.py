@@ -1,6 +1,8 @@
 """The pipeline on the smallest tables, stage by stage, against what each operator says by brute force."""
 
 import os
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +76,40 @@ def test_mixing_keeps_documents_without_id(session):
     assert any(r["doc_id"] is None and r["source"] == "a" for r in mixed.collect())
 
 
+def test_rows_without_id_pass_every_operator(session, tmp_path):
+    spec = "doc_id long, text string, lang string, source string, n_chars long"
+    rng = random.Random(9)
+    write = lambda letters, n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
+    path = str(tmp_path / "tables")
+    pages = session.createDataFrame([], "page_id long, url string, html string")
+    pages.write.parquet(f"{path}/pages.parquet")
+    rows = [(i, write("абвгд" if i % 2 else "vwxyz", 60), "ru" if i % 2 else "en", "a", 1) for i in range(60)]
+    russian, foreign, copied = write("абвгд", 60), write("ßøłđñ", 60), write("vwxyz", 60)
+    near = copied + " vwxyz"
+    loose = [(None, russian, None, "a", 1), (None, foreign, None, "a", 1), (7, write("vwxyz", 60), "en", "a", 1)]
+    loose += [(None, copied, "en", "a", 1)] * 3 + [(None, near, "en", "a", 1), (None, rows[4][1], "en", "a", 1)]
+    docs = session.createDataFrame(rows + loose, spec)
+    told = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.keep_identified(session, docs, path).collect())
+    assert told == Counter((i, t) for i, t, *_ in rows + loose if t != foreign)
+    classed = corpus_pipeline.keep_one_of_each_class(session, docs, path).collect()
+    kept = Counter((r["doc_id"], r["text"]) for r in classed)
+    copies = [key for key in kept if key[1] in (copied, near)]
+    assert len(copies) == 1 and kept[copies[0]] == 1 and kept[(None, rows[4][1])] == 0
+    assert set(kept) - set(copies) == {(i, t) for i, t, *_ in rows} | {(i, t) for i, t, *_ in loose[:3]}
+    assert max(kept.values()) == 1
+
+
+def test_mixing_tells_equal_rows_without_id_apart(session):
+    spec = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = session.createDataFrame([(None, "one two three", "en", "a", 13)] * 9 + [(1, "w " * 40, "en", "b", 80)] * 2, spec)
+    mixed = mixing.mix(docs.withColumn("k", F.monotonically_increasing_id()), id_col="k").collect()
+    want = Counter()
+    for r in mixed:
+        want[r["size"]] += r["taken"] // r["size"]
+    got = Counter(len(r["text"].split()) for r in corpus_pipeline.mix_sources(session, docs, SF).collect())
+    assert got == +want
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_queries_return_a_row_for_each_row(session):
     tables = {"op1": "pages", "op4": "pages", "op7": "embeddings"}
