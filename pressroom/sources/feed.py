@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from pressroom import fixed_values as V
 from pressroom.functions.dates import request_range
@@ -12,7 +12,10 @@ from pressroom.schemas import FEED_PAGE
 def read_feed_pages(
     spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None
 ) -> DataFrame:
-    """Landed JSON pages, one object per line; days bound a ``landed=YYYY-MM-DD`` folder level."""
+    """Landed JSON pages, one object per line; days bound a ``landed=YYYY-MM-DD`` folder level.
+
+    ``landing`` is the folder of a page's file: the files of a folder are one landing.
+    """
     pages = spark.read.schema(FEED_PAGE).json(path)
     if first_day or last_day:
         dated = T.StructType([*FEED_PAGE.fields, T.StructField("landed", T.DateType())])
@@ -21,30 +24,45 @@ def read_feed_pages(
             pages = pages.where(F.col("landed") >= F.lit(first_day).cast("date"))
         if last_day:
             pages = pages.where(F.col("landed") <= F.lit(last_day).cast("date"))
-    return pages
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "(?s)^(.*)/", 1)
+    return pages.withColumn("landing", folder)
 
 
 def feed_items(pages: DataFrame) -> DataFrame:
     """Items of the pages before the first empty one, with their ``ordinal`` (feed order).
 
-    The number of the first empty page is one value, found by an aggregate over page numbers.
+    Page numbers start again in each ``landing``, so each has a first empty page and a total of its
+    own; ordinals run on over landings in order of name. Pages without that column are one landing.
+    The stop and offset of all landings are one value, a map with an entry for each, found by an
+    aggregate over page numbers.
     """
+    landing = F.coalesce("landing", F.lit("")) if "landing" in pages.columns else F.lit("")
+    pages = pages.withColumn("_landing", landing)
     empty = F.coalesce(F.size("data"), F.lit(0)) <= 0
-    stop = pages.agg(
-        F.min(F.when(empty, F.col("page"))).alias("empty"), F.max("total_pages").alias("total")
-    ).select(
-        F.least(
-            F.coalesce(F.col("empty"), F.lit(2**31 - 1)),
-            F.coalesce(F.col("total").cast("bigint") + 1, F.lit(2**31 - 1)),
-        ).alias("stop")
+    bounds = pages.groupBy("_landing").agg(
+        F.min(F.when(empty, F.col("page"))).alias("empty"),
+        F.max("total_pages").alias("total"),
+        F.max("page").alias("last"),
+    )
+    stop = F.least(
+        F.coalesce(F.col("empty"), F.lit(2**31 - 1)),
+        F.coalesce(F.col("total").cast("bigint") + 1, F.lit(2**31 - 1)),
     )
+    width = (F.coalesce("last", F.lit(0)).cast("bigint") + 1) * V.FEED_REQUEST["items"]
+    earlier = Window.orderBy("_landing").rowsBetween(Window.unboundedPreceding, -1)  # a row per landing
+    limits = bounds.select(
+        "_landing", F.struct(stop.alias("stop"), F.coalesce(F.sum(width).over(earlier), F.lit(0)).alias("offset"))
+    ).agg(F.map_from_entries(F.collect_list(F.struct("*"))))
     return (
-        pages.where(F.col("page") < stop.scalar())
-        .select("page", F.posexplode("data").alias("pos", "item"))
+        pages.withColumn("_limit", F.element_at(limits.scalar(), F.col("_landing")))
+        .where(F.col("page") < F.col("_limit.stop"))
+        .select("page", "_limit", F.posexplode("data").alias("pos", "item"))
         .select(
             "page",
             "pos",
-            (F.col("page").cast("bigint") * V.FEED_REQUEST["items"] + F.col("pos")).alias("ordinal"),
+            (
+                F.col("_limit.offset") + F.col("page").cast("bigint") * V.FEED_REQUEST["items"] + F.col("pos")
+            ).alias("ordinal"),
             "item.*",
         )
     )

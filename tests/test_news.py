@@ -43,6 +43,18 @@ def test_total_pages_bounds_the_feed(spark, tmp_path):
     assert feed_items(pages.withColumn("total_pages", F.lit(1))).count() == 1
 
 
+def test_each_landing_has_its_own_stop_page(spark, tmp_path):
+    land(tmp_path / "landed=2024-01-01", [item(1)], [item(2)], [item(3, "u")], [item(4)])
+    land(tmp_path / "landed=2024-01-02", [item(5)], [], [item(6)])
+    land(tmp_path / "landed=2024-01-03", [item(7), item(8)], [item(9)], [item(10, "u")])
+    items = feed_items(read_feed_pages(spark, str(tmp_path))).orderBy("ordinal").collect()
+    assert [r["news_id"] for r in items] == ["1", "2", "3", "4", "5", "7", "8", "9", "10"]
+    assert [r["ordinal"] for r in items][:4] == [100, 200, 300, 400] and len({r["ordinal"] for r in items}) == 9
+    kept = ingest.feed_to_metadata(feed_items(read_feed_pages(spark, str(tmp_path)))).collect()
+    assert {r["news_id"] for r in kept} == {"1", "2", "3", "4", "5", "7", "8", "9"}
+    assert feed_items(read_feed_pages(spark, str(tmp_path)).limit(0)).collect() == []
+
+
 def test_landed_days(spark, tmp_path):
     for day in ("2024-01-01", "2024-01-02"):
         land(tmp_path / f"landed={day}", [item(day)])
