@@ -7,15 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressroom.llm.common import give_back, map_batches, salted_join, save
 from pressroom.llm.textkit import folded, pieces_of
 
 BINS = 1 << 16
-#: Languages that a fit knows at most, the most frequent ones, and labelled texts of each that it reads.
-MAX_LANGUAGES = 64
+#: Labelled texts of each language that a fit reads, and languages whose counts a task holds before it sends them on.
 PER_LANGUAGE = 1_000
+HELD = 32
 #: Trigrams overlap, so that so many count as one independent observation.
 OVERLAP = 3.0
 #: Pseudo-counts: of evidence given a language, and of a parent in its child's prior.
@@ -59,7 +59,7 @@ def fit(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
 ) -> TextModel:
-    """Trigram models of at most ``MAX_LANGUAGES`` declared languages, each from at most ``per_language`` texts.
+    """Trigram models of all declared languages, each from at most ``per_language`` texts.
 
     The texts are the first of their language by a hash of their id. Trigrams are counted in a
     grouped aggregation. Rows without a language or an id are passed over; without any, the model
@@ -68,40 +68,52 @@ def fit(
     keys = docs.select(F.col(id_col), F.col(lang_col).alias("_lang")).filter(
         F.col(id_col).isNotNull() & F.col("_lang").isNotNull()
     )
-    common = keys.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["_lang"] for r in common)
+    languages = sorted(r["_lang"] for r in keys.select("_lang").distinct().collect())
     if not languages:
         return TextModel([], np.zeros((BINS, 0), np.float32), np.zeros(0))
-    picked = None
-    for lang in languages:
-        part = keys.filter(F.col("_lang") == lang).orderBy(F.xxhash64(id_col), id_col).limit(per_language)
-        picked = part if picked is None else picked.union(part)
-    # A broadcast of at most MAX_LANGUAGES * per_language keys.
+    first = Window.partitionBy("_lang").orderBy(F.xxhash64(id_col), id_col)
+    picked = keys.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= per_language).drop("_place")
+    # A broadcast of at most per_language keys of each language.
     text = F.coalesce(F.col(text_col), F.lit("")).alias("_text")
     rows = docs.select(F.col(id_col), F.col(lang_col).alias("_lang"), text)
     sample = rows.join(F.broadcast(picked), [id_col, "_lang"]).select("_lang", "_text")
 
+    def sent(total: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, seen in total.items():
+            at = np.flatnonzero(seen)
+            names = ["lang", "bin", "n"]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(seen[at])], names)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen = np.bincount(trigrams(text), minlength=BINS) if text else 0
                 total[lang] = total.get(lang, np.zeros(BINS, np.int64)) + seen
-        for lang, seen in total.items():
-            at = np.flatnonzero(seen)
-            names = ["lang", "bin", "n"]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(seen[at])], names)
+                if len(total) > HELD:
+                    yield from sent(total)
+                    total = {}
+        yield from sent(total)
 
     counted = map_batches(sample, count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
-    counts = np.zeros((BINS, len(languages)))
+    place = {lang: i for i, lang in enumerate(languages)}
+    found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in languages]
     for batch in counted.toArrow().to_batches():
-        column = np.array([languages.index(x) for x in batch.column(0).to_pylist()], np.int64)
-        counts[batch.column(1).to_numpy(), column] = batch.column(2).to_numpy()
-    share = (counts + 0.1) / (counts + 0.1).sum(axis=0)
-    logp = np.log(share).astype(np.float32)
-    # A text is foreign if its trigrams are rarer than halfway (in logarithms) from usual to unseen ones.
-    usual = (share * np.log(share)).sum(axis=0)
-    return TextModel(languages, logp, (usual + logp.min(axis=0)) / 2)
+        column = np.array([place[x] for x in batch.column(0).to_pylist()], np.int64)
+        bins, seen = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        for i in np.unique(column):
+            found[i].append((bins[column == i], seen[column == i]))
+    logp = np.empty((BINS, len(languages)), np.float32)
+    floor = np.empty(len(languages))
+    for i, parts in enumerate(found):
+        counts = np.full(BINS, 0.1)
+        for bins, seen in parts:
+            counts[bins] += seen
+        share = counts / counts.sum()
+        logp[:, i] = np.log(share)
+        # A text is foreign if its trigrams are rarer than halfway (in logarithms) from usual to unseen ones.
+        floor[i] = ((share * np.log(share)).sum() + logp[:, i].min()) / 2
+    return TextModel(languages, logp, floor)
 
 
 def text_evidence(model: TextModel, text: Column) -> Column:
@@ -129,10 +141,10 @@ def page_evidence(url: Column, html: Column) -> dict[str, Column]:
     }
 
 
-def _tally(rows: DataFrame, key: str, best: Column, size: int, name: str) -> DataFrame:
-    """``(key, name)``: how many rows of each language have the key, as an array; nulls stay out."""
-    counts = F.array(*[F.sum(F.when(best == i, 1.0).otherwise(0.0)) for i in range(size)])
-    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(counts.alias(name))
+def _tally(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``(key, name)``: the languages of rows that have the key, and how many of each; nulls stay out."""
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key, "_best").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(key).agg(F.collect_list(F.struct("_best", "n")).alias(name))
 
 
 def fuse(rows: DataFrame, model: TextModel, by: str = "id") -> DataFrame:
@@ -151,7 +163,7 @@ def fuse(rows: DataFrame, model: TextModel, by: str = "id") -> DataFrame:
             "text_lang": F.lit(None).cast("string"), "lang": F.lit(None).cast("string"),
             "confidence": F.lit(0.0), "kept": F.lit(False),
         })
-    names = F.lit(model.languages)
+    names = F.array(*map(F.lit, model.languages))
     means, n = F.col("text.means"), F.col("text.n")
     own = F.when(n > 0, F.array_position(means, F.array_max(means)).cast("int") - 1)
     rows = rows.withColumn("_best", own)
@@ -162,49 +174,63 @@ def fuse(rows: DataFrame, model: TextModel, by: str = "id") -> DataFrame:
         whole[r["_best"]] = float(r["count"])
     total = sum(whole)
     base = [(x + 1) / (total + size) for x in whole]
-    hosts = _tally(voted, "host", best, size, "_host").join(
+    hosts = _tally(voted, "host", "_host").join(
         voted.filter("host is not null").groupBy("host").agg(F.max("domain").alias("domain")), "host"
     )
-    domains = _tally(voted, "domain", best, size, "_domain")
+    domains = _tally(voted, "domain", "_domain")
     hosts = salted_join(hosts, domains, ["domain"], by="host").drop("domain")
     out = salted_join(rows, hosts, ["host"], by=by)
+    kinds = {}
     for key in ("declared", "suffix"):
-        counts = _tally(voted, key, best, size, f"_{key}")
-        kinds = max(1, counts.count())
-        like = F.array(*[
-            F.log((F.element_at(f"_{key}", i + 1) + SMOOTH) / (whole[i] + SMOOTH * kinds)) for i in range(size)
-        ])
-        out = salted_join(out, counts.select(key, like.alias(f"_{key}")), [key], by=by)
-
-    def prior(i: int) -> Column:
-        vote = F.when(best == i, 1.0).otherwise(0.0)
-        any_vote = F.when(best.isNotNull(), 1.0).otherwise(0.0)
-        above = F.lit(base[i])
-        for column in ("_domain", "_host"):
-            count, all_ = F.element_at(column, i + 1), F.aggregate(column, F.lit(0.0), lambda a, x: a + x)
-            level = (F.greatest(count - vote, F.lit(0.0)) + PRIOR * above) / (F.greatest(all_ - any_vote, F.lit(0.0)) + PRIOR)
-            above = F.coalesce(level, above)
-        return above
-
-    logits = F.array(*[
-        F.coalesce(F.element_at(means, i + 1) * n / OVERLAP, F.lit(0.0)) + F.log(prior(i))
-        + F.coalesce(F.element_at("_declared", i + 1), F.lit(0.0))
-        + F.coalesce(F.element_at("_suffix", i + 1), F.lit(0.0))
-        for i in range(size)
-    ])
-    out = out.withColumn("_logits", logits)
-    top = F.array_max("_logits")
-    at = F.array_position("_logits", top).cast("int")
-    spread = F.aggregate("_logits", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("_logits")))
-    floors = F.lit([float(x) for x in model.floor])
-    known = F.element_at(means, at) >= F.element_at(floors, at)
+        counts = _tally(voted, key, f"_{key}")
+        kinds[key] = max(1, counts.count())
+        out = salted_join(out, counts, [key], by=by)
+    totals, base, floors = np.array(whole), np.array(base), np.asarray(model.floor)
+
+    def dense(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts by row and language, and which rows have any."""
+        there = column.is_valid().to_numpy(zero_copy_only=False)
+        lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        entries, counts = column.flatten(), np.zeros((len(column), size))
+        at = entries.field("_best").to_numpy(zero_copy_only=False)
+        counts[np.repeat(np.arange(len(column)), lengths), at] = entries.field("n").to_numpy(zero_copy_only=False)
+        return counts, there[:, None]
+
+    @F.arrow_udf("struct<at:int,confidence:double,known:boolean>")
+    def weigh(
+        means: pa.Array, n: pa.Array, best: pa.Array, domain: pa.Array, host: pa.Array, declared: pa.Array, suffix: pa.Array
+    ) -> pa.Array:
+        give_back()
+        parts = []
+        for k in range(0, len(n), 256):
+            cut = lambda column: column.slice(k, 256)  # noqa: E731, B023
+            mean = cut(means).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            own = cut(best).fill_null(-1).to_numpy(zero_copy_only=False)
+            vote = (own[:, None] == np.arange(size)).astype(float)
+            prior = np.broadcast_to(base, mean.shape)
+            for column in (domain, host):
+                counts, there = dense(cut(column))
+                others = np.maximum(counts.sum(axis=1, keepdims=True) - (own >= 0)[:, None], 0)
+                prior = np.where(there, (np.maximum(counts - vote, 0) + PRIOR * prior) / (others + PRIOR), prior)
+            logits = mean * cut(n).to_numpy(zero_copy_only=False)[:, None] / OVERLAP + np.log(prior)
+            for key, column in (("declared", declared), ("suffix", suffix)):
+                counts, there = dense(cut(column))
+                logits += np.where(there, np.log((counts + SMOOTH) / (totals + SMOOTH * kinds[key])), 0)
+            at = logits.argmax(axis=1)
+            spread = np.exp(logits - logits.max(axis=1, keepdims=True)).sum(axis=1)
+            parts.append((at, 1 / spread, mean[np.arange(len(at)), at] >= floors[at]))
+        at, confidence, known = map(np.concatenate, zip(*parts)) if parts else (np.empty(0), np.empty(0), np.empty(0))
+        arrays = [pa.array(at, pa.int32()), pa.array(confidence, pa.float64()), pa.array(known.astype(bool))]
+        return pa.StructArray.from_arrays(arrays, ["at", "confidence", "known"])
+
+    out = out.withColumn("_weighed", weigh(means, n, "_best", "_domain", "_host", "_declared", "_suffix"))
     out = out.withColumns({
         "text_lang": F.element_at(names, best + 1),
-        "lang": F.element_at(names, at),
-        "confidence": 1 / spread,
-        "kept": F.coalesce((n > 0) & known & (1 / spread >= CONFIDENCE), F.lit(False)),
+        "lang": F.element_at(names, F.col("_weighed.at") + 1),
+        "confidence": F.col("_weighed.confidence"),
+        "kept": (n > 0) & F.col("_weighed.known") & (F.col("_weighed.confidence") >= CONFIDENCE),
     })
-    return out.drop("_best", "_host", "_domain", "_declared", "_suffix", "_logits")
+    return out.drop("_best", "_host", "_domain", "_declared", "_suffix", "_weighed")
 
 
 def identify(
@@ -216,11 +242,14 @@ def identify(
     ``evidence(id, declared, suffix, domain, host)`` has one row per id at most. Null and empty
     texts and texts without letters are not kept; a null id or one without evidence has its text
     and the general prior alone. Repeated rows are judged each. No rows give no rows. The declared
-    languages in ``lang_col`` serve to fit a model where none is given, and never as evidence.
+    languages in ``lang_col`` serve to fit a model where none is given, and never as evidence; a text
+    with letters whose declared language the model does not know is kept, with a null ``lang``.
     """
     if model is None:
         model = fit(docs, id_col, text_col, lang_col)
     row = [F.col(row_col).alias("_row")] if row_col else []
+    stated = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    row.append((stated.isNotNull() & ~stated.isin(model.languages)).alias("_unknown"))
     rows = docs.select(F.col(id_col).alias("id"), text_evidence(model, F.col(text_col)).alias("text"), *row)
     columns = ["declared", "suffix", "domain", "host"]
     if evidence is None:
@@ -228,5 +257,9 @@ def identify(
     else:
         rows = rows.join(evidence.select(F.col(id_col).alias("id"), *columns), "id", "left")
     out = fuse(save(rows, "evidence"), model, by="_row" if row_col else "id")
+    unknown = F.col("_unknown") & (F.col("text.n") > 0)
+    out = out.withColumns({
+        "lang": F.when(~unknown, F.col("lang")), "kept": F.col("kept") | unknown,
+    })
     row = [F.col("_row").alias(row_col)] if row_col else []
     return out.select(F.col("id").alias(id_col), "lang", "confidence", "text_lang", "declared", "host", "kept", *row)

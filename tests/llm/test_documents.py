@@ -161,6 +161,19 @@ def test_language_from_all_evidence(session):
     assert language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).filter("kept").count() == 0
 
 
+def test_every_declared_language_is_fitted(session):
+    rng = random.Random(10)
+    letters = {f"l{k:02}": [chr(0x400 + 12 * k + j) for j in range(12)] for k in range(70)}
+    make = lambda lang: " ".join("".join(rng.choices(letters[lang], k=6)) for _ in range(60))
+    rows = [(100 * k + i, make(lang), lang) for k, lang in enumerate(letters) for i in range(3 if k < 66 else 2)]
+    docs = session.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r for r in language.identify(docs).collect()}
+    assert all(found[i]["lang"] == lang and found[i]["kept"] for i, _, lang in rows)
+    model = language.fit(docs.filter("lang < 'l02'"))
+    other = language.identify(docs.filter("lang < 'l03'"), model=model).collect()
+    assert all(r["kept"] and (r["lang"] is None) == (r["doc_id"] >= 200) for r in other)
+
+
 # -- URL rules -------------------------------------------------------------------------------
 
 
