@@ -11,6 +11,7 @@ from pressroom.functions.arrays import explode_rows
 from pressroom.functions.dates import percent_text
 from pressroom.functions.html import host, with_blocks, with_fallback, with_text
 from pressroom.operators.ingest import keep_first
+from pressroom.operators.numbering import numbered
 from pressroom.schemas import DATE_PARTS
 from pressroom.session import work_dir
 
@@ -83,35 +84,14 @@ def fetch_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def with_row_number(df: DataFrame, ordinal: str, out: str, bucket_rows: int = 100_000) -> DataFrame:
-    """Number all rows from 0 by a unique non-negative integer ``ordinal``, without a global sort.
-
-    Rows are numbered inside buckets of the ordinal's range, each at most ``bucket_rows`` rows;
-    only one row per bucket goes through the task that adds up bucket sizes.
-    """
-    bucketed = df.withColumn("_bucket", F.floor(F.col(ordinal) / bucket_rows))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
-    )
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(ordinal))
-    return (
-        bucketed.withColumn("_inside", inside)
-        .join(starts, "_bucket")
-        .withColumn(out, F.col("_start") + F.col("_inside") - 1)
-        .drop("_bucket", "_inside", "_start")
-    )
-
-
 def fetch_progress(outcomes: DataFrame, ordinal: str) -> DataFrame:
     """Successes per chunk of 100 URLs in order, and the running totals.
 
     Running totals over chunks are added up in two levels, so that neither level is one big sort.
     """
-    numbered = with_row_number(outcomes, ordinal, "_number")
     chunks = (
-        numbered.withColumn("chunk", F.floor(F.col("_number") / V.FETCH_CHUNK))
+        numbered(outcomes, [ordinal], "_number")
+        .withColumn("chunk", F.floor(F.col("_number") / V.FETCH_CHUNK))
         .groupBy("chunk")
         .agg(
             F.count(F.lit(1)).alias("chunk_size"),

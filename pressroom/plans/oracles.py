@@ -449,7 +449,7 @@ SELECT news_url, md5(full_text) AS text_md5, status_code, error, success, elapse
 SELECT count(*) AS articles_scraped, count(*) FILTER (success) AS successful_scrapes,
   printf('%.1f%%', count(*) FILTER (success) / count(*) * 100) AS success_rate FROM outcomes"""
     sql["fetch_progress"] = f"""WITH {outcome_ctes()},
-numbered AS (SELECT (row_number() OVER (ORDER BY page_id) - 1) // 100 AS chunk, success FROM outcomes),
+numbered AS (SELECT (row_number() OVER (ORDER BY page_id * 1000003) - 1) // 100 AS chunk, success FROM outcomes),
 chunks AS (SELECT chunk, count(*) AS chunk_size, count(*) FILTER (success) AS chunk_success FROM numbered GROUP BY chunk),
 totals AS (
   SELECT *, sum(chunk_size) OVER (ORDER BY chunk)::BIGINT AS total_done,

@@ -397,8 +397,10 @@ def fetch_summary(spark, sf):
 
 @query
 def fetch_progress(spark, sf):
+    """Ordinals far apart, as ids of many sources are."""
     outcomes = scrape.fetch_outcomes(I.fetched_pages(spark, sf), keep=["page_id"])
-    return scrape.fetch_progress(outcomes, "page_id")
+    sparse = outcomes.withColumn("ordinal", F.col("page_id") * 1_000_003)
+    return scrape.fetch_progress(sparse, "ordinal")
 
 
 # -- sentences and summaries -----------------------------------------------------------------

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_STORED: list[tuple[SparkSession, str]] = []
 
 
 def build_session(app_name: str = "pressroom", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,3 +46,31 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="pressroom-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared folder and read again: cuts lineage, survives lost executors."""
+    spark = df.sparkSession
+    path = work_dir(spark, purpose)
+    _STORED.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored() -> int:
+    """How many tables ``store`` has written and not released, for ``release``."""
+    return len(_STORED)
+
+
+def release(since: int = 0) -> None:
+    """Delete the tables that ``store`` wrote after the first ``since``; results not yet written need them."""
+    while len(_STORED) > since:
+        spark, path = _STORED.pop()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session has gone; its folder stays
+            return
+
+
+atexit.register(release)

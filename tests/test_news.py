@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pressroom.functions.dates import parse_feed_date, percent_text
 from pressroom.operators import ingest, scrape, status
+from pressroom.operators.numbering import numbered
 from pressroom.operators.articles import natural_left_join, with_selected_text
 from pressroom.plans.news import process_news
 from pressroom.schemas import FEED_ITEM, FETCHED_PAGE, METADATA
@@ -183,15 +184,31 @@ def test_repeated_blocks(spark):
     assert got == {**{i: f"Own text {i}." for i in range(4)}, 9: "Subscribe to us."}
 
 
-def test_progress_over_small_buckets(spark):
-    rows = [(i * 3, i % 4 != 0) for i in range(250)]
+def test_progress_over_sparse_ordinals(spark):
+    rows = [(i * 10**12, i % 4 != 0) for i in range(250)]
     df = spark.createDataFrame(rows, "ordinal long, success boolean")
-    numbered = scrape.with_row_number(df, "ordinal", "n", bucket_rows=40)
-    assert {(r["ordinal"], r["n"]) for r in numbered.collect()} == {(i * 3, i) for i in range(250)}
+    got = {(r["ordinal"], r["n"]) for r in numbered(df, ["ordinal"], "n").collect()}
+    assert got == {(i * 10**12, i) for i in range(250)}
     chunks = [tuple(r) for r in scrape.fetch_progress(df, "ordinal").orderBy("chunk").collect()]
     assert chunks == [(0, 100, 75, 100, 75, "75.0%"), (1, 100, 75, 200, 150, "75.0%"), (2, 50, 37, 250, 187, "74.8%")]
 
 
+def test_numbers_inside_keys(spark):
+    rows = [(None if i % 5 == 0 else "a" if i % 3 else f"k{i % 7}", -i, "x") for i in range(400)] + [("a", -8, "x")] * 3
+    df = spark.createDataFrame(rows, "k string, v int, _size string").repartition(7)
+    got = numbered(df, ["v"], "n", by=["k"])
+    assert got.columns == ["k", "v", "_size", "n"]
+    want = {}
+    for k, v, _ in sorted(rows, key=lambda r: r[1]):
+        want.setdefault(k, []).append(v)
+    found = {}
+    for r in sorted(got.collect(), key=lambda r: r["n"]):
+        assert r["n"] == len(found.setdefault(r["k"], []))
+        found[r["k"]].append(r["v"])
+    assert found == want
+    assert numbered(df.limit(0), ["v"], "n").count() == 0
+
+
 def test_natural_join(spark):
     left = spark.createDataFrame([(1, None, "a"), (2, "u", "b"), (3, "v", "c")], "id int, url string, x string")
     right = spark.createDataFrame([(1, None, 10), (2, "w", 20), (3, "v", 30)], "id int, url string, y int")
