@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pressroom.session import configure, work_dir
-
-_WRITTEN: list[tuple[SparkSession, str]] = []
+from pressroom.session import configure, release, store  # noqa: F401
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -28,25 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def save(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = work_dir(spark, f"llm-{purpose}")
-    _WRITTEN.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release() -> None:
-    """Delete every table that ``save`` wrote in this process; results not yet stored need them."""
-    while _WRITTEN:
-        spark, path = _WRITTEN.pop()
-        try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session has gone; its folder stays
-            return
-
-
-atexit.register(release)
+    return store(df, f"llm-{purpose}")
 
 
 def is_empty(df: DataFrame) -> bool:

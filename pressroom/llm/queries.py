@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressroom.llm import embeddings, jaccard, language, links, mixing, packing, quality, sketch, toxicity, warc
+from pressroom.llm import embeddings, jaccard, language, links, mixing, packing, quality, sketch, toxicity, trie, warc
 from pressroom.llm.common import prepare, save, table
 from pressroom.session import work_dir
 
@@ -136,10 +136,29 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"), document_pages(table(spark, sf, "pages")))
 
 
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Each conversation c with its first h turns taken from conversation c - c % 100, h = crc32(c) % 6."""
+    starts = conversations.select(
+        F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("start")
+    ).filter("base % 100 = 0")
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    rows = conversations.withColumn("head", head).withColumn("base", F.col("conv_id") - F.col("conv_id") % 100)
+    none = F.array().cast("array<binary>")
+    first = F.slice(F.coalesce("start", none), F.lit(1), F.col("head"))
+    own = F.slice("turns", F.col("head") + 1, F.size("turns"))
+    return rows.join(starts, "base", "left").select("conv_id", F.concat(first, own).alias("turns"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    turns = table(prepare(spark), sf, "conversations")
+    return trie.prefix_trie(rebuilt(trie.conversation_turns(turns))).drop("turn")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = [
         op1_warc, op2_quality, op3_toxicity, op4_url_filter, op5_fingerprints, op6_mixing, op7_vectors,
-        op8_jaccard, op9_packing, op10_language,
+        op8_jaccard, op9_packing, op10_language, op11_prefix_trie,
     ]
     return {f.__name__: f for f in functions}
 
