@@ -28,6 +28,14 @@ def save(df: DataFrame, purpose: str) -> DataFrame:
     return store(df, f"llm-{purpose}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressroom.llm import embeddings, jaccard, language, links, mixing, packing, quality, sketch, toxicity, trie, warc
+from pressroom.llm import embeddings, jaccard, language, links, mixing, packing, quality, repair, sharding, sketch, toxicity, trie, warc
 from pressroom.llm.common import prepare, save, table
 from pressroom.session import work_dir
 
@@ -155,10 +155,42 @@ def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return trie.prefix_trie(rebuilt(trie.conversation_turns(turns))).drop("turn")
 
 
+def op12_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal bytes, equal texts together."""
+    rows = sharding.assign_shards(table(prepare(spark), sf, "documents"), 16)
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with planted faults by crc32(`conv_id:turn`) % 20; nulls are one space."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", space)
+    rows = conversations.select(
+        "conv_id", "turn", kind.alias("kind"), F.coalesce("role", space).alias("role"), text.alias("text")
+    ).filter("kind <> 0")
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op13_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults and the cheapest repair of all conversations after planted damage."""
+    conversations = table(prepare(spark), sf, "conversations")
+    turns = damaged(conversations)
+    return repair.repaired_digests(turns, repair.repairs(turns, conversations))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     functions = [
         op1_warc, op2_quality, op3_toxicity, op4_url_filter, op5_fingerprints, op6_mixing, op7_vectors,
-        op8_jaccard, op9_packing, op10_language, op11_prefix_trie,
+        op8_jaccard, op9_packing, op10_language, op11_prefix_trie, op12_sharding, op13_repair,
     ]
     return {f.__name__: f for f in functions}
 
