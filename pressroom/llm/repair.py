@@ -219,9 +219,8 @@ class Edited:
         yield from self._inserted()
 
 
-def _ordered(rows: DataFrame) -> DataFrame:
-    """Each conversation in one task and in order; rows are sorted on disk where memory ends."""
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "part", "turn", "role", "digest")
+#: A conversation's rows in order, what is said of it as a whole before them.
+ORDER = ["conv_id", "part", "turn", "role", "digest"]
 
 
 def _turns(turns: DataFrame, id_col: str) -> DataFrame:
@@ -254,18 +253,22 @@ def repairs(turns: DataFrame, ids: DataFrame | None = None, id_col: str = "conv_
     columns are ignored.
     """
     rows = _turns(turns, id_col)
-    same = Window.partitionBy("conv_id", "role", "digest").orderBy("turn")
     narrow = rows.withColumn("fault", fault(F.col("text"), F.lit(False))).drop("text")
-    dealt = narrow.repartition("conv_id").withColumn("again", F.row_number().over(same) > 1)
-    judged = dealt.withColumn("fault", F.when((F.col("fault") != "blank") & F.col("again"), "duplicate").otherwise(F.col("fault")))
-    judged = judged.select("conv_id", "part", "turn", F.substring("role", 1, 1).alias("initial"), "fault", "role", "digest")
     if ids is not None:
         none = F.lit(None)
         marks = ids.select(F.col(id_col).cast("long").alias("conv_id")).distinct().select(
-            "conv_id", F.lit(0).alias("part"), none.cast("long").alias("turn"), none.cast("string").alias("initial"),
-            none.cast("string").alias("fault"), none.cast("string").alias("role"), none.cast("binary").alias("digest"),
+            "conv_id", F.lit(0).alias("part"), none.cast("long").alias("turn"), none.cast("string").alias("role"),
+            none.cast("binary").alias("digest"), none.cast("string").alias("fault"),
         )
-        judged = judged.unionByName(marks)
+        narrow = narrow.unionByName(marks)
+    # Rows and marks are dealt together: Spark takes a union of two sides dealt alike for dealt
+    # already, though adaptive execution may merge the partitions of each side in its own way.
+    same = Window.partitionBy("conv_id", "role", "digest").orderBy("turn")
+    dealt = narrow.repartition("conv_id").withColumn("again", F.row_number().over(same) > 1)
+    judged = dealt.withColumn("fault", F.when((F.col("fault") != "blank") & F.col("again"), "duplicate").otherwise(F.col("fault")))
+    judged = judged.sortWithinPartitions(*ORDER).select(
+        "conv_id", "part", "turn", F.substring("role", 1, 1).alias("initial"), "fault"
+    )
     schema = pa.schema([
         *[(c, pa.int64()) for c in ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost")], ("audit", pa.string()),
     ])
@@ -286,7 +289,7 @@ def repairs(turns: DataFrame, ids: DataFrame | None = None, id_col: str = "conv_
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((conv, *found.end()), schema)], schema=schema)
 
     kinds = ", ".join(f"{f.name} {'string' if f.type == pa.string() else 'long'}" for f in schema)
-    return save(map_batches(_ordered(judged).select("conv_id", "part", "turn", "initial", "fault"), work, kinds), "repairs")
+    return save(map_batches(judged, work, kinds), "repairs")
 
 
 class Findings:
@@ -322,7 +325,8 @@ def _edited(turns: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
         "conv_id", F.lit(0).alias("part"), none.cast("long").alias("turn"), none.cast("string").alias("role"),
         none.cast("binary").alias("digest"), F.col("audit").alias("text"),
     )
-    return _ordered(rows.unionByName(audits)).select("conv_id", "part", "role", "text")
+    dealt = rows.unionByName(audits).repartition("conv_id").sortWithinPartitions(*ORDER)
+    return dealt.select("conv_id", "part", "role", "text")
 
 
 def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bool, tuple[str, str, str] | None]]:

@@ -310,6 +310,19 @@ def test_damaged_conversations_against_brute_force(session, tmp_path):
     assert repaired == {c: out for c, (_, out) in want.items() if out}
 
 
+def test_conversations_over_many_partitions(session, tmp_path):
+    rows = [(c, t, "user", f"Text {c} {t}.") for c in range(3000) for t in range(4)]
+    path = write(session, tmp_path, "conversations", rows, "conv_id long, turn long, role string, text string")
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    session.conf.set(name, "4k")  # the larger side keeps more partitions than the smaller
+    try:
+        got = llm_queries()["op13_repair"](session, path).collect()
+    finally:
+        session.conf.unset(name)
+    want = {c: naive_findings(v)[0] for c, v in naive_damage(rows).items()}
+    assert len(got) == 3000 and {r[0]: tuple(r[1:]) for r in got} == want
+
+
 def test_repair_of_nothing(session, tmp_path):
     path = write(session, tmp_path, "conversations", [], "conv_id long, turn long, role string, text string")
     assert llm_queries()["op13_repair"](session, path).collect() == []
