@@ -57,15 +57,16 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored() -> int:
-    """How many tables ``store`` has written and not released, for ``release``."""
-    return len(_STORED)
+def stored() -> list[tuple[SparkSession, str]]:
+    """The tables that ``store`` has written and that are not released."""
+    return list(_STORED)
 
 
-def release(since: int = 0) -> None:
-    """Delete the tables that ``store`` wrote after the first ``since``; results not yet written need them."""
-    while len(_STORED) > since:
-        spark, path = _STORED.pop()
+def release(tables: list[tuple[SparkSession, str]] | None = None) -> None:
+    """Delete these tables, or all that ``store`` wrote; results not yet written need them."""
+    for spark, path in stored() if tables is None else tables:
+        if (spark, path) in _STORED:
+            _STORED.remove((spark, path))
         try:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
