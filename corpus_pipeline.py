@@ -3,84 +3,143 @@
 Each stage takes ``(spark, docs, sf_dir)``, works on all documents that its predecessor kept and
 returns a DataFrame, which is written as Parquet and read again as the next one's ``docs``. All but
 the last return the columns of ``documents``. No stage looks at columns other than ``doc_id``,
-``text``, ``lang`` and ``source``; nulls in any of them are handled as each operator states.
+``text``, ``lang`` and ``source``; nulls in any of them are handled as each operator states, and
+other columns pass through whatever their names.
+
+Rows are known by their place in the files they are read from. Stages decide on ids, hashes and
+sizes, and the texts meet the decisions in one join at the end. A stage's result has to be written
+before the next stage is called, which deletes the tables that the one before has saved.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pressroom.llm import jaccard, language, mixing, packing, toxicity
-from pressroom.llm.common import prepare, save, table
+from pressroom.llm.common import free_name, prepare, save, table
 from pressroom.llm.queries import document_pages, tokenizer_path
-from pressroom.session import work_dir
+from pressroom.operators.numbering import numbered
+from pressroom.session import release, store, stored
 
 #: No stage sequence has a statement in SQL: it fits models, shingles words and runs a tokenizer.
 ORACLE_SQL = None
+#: So many files at most are numbered in a table that is sent to all tasks (16 bytes a file).
+FILES = 500_000
+_EARLIER: list[tuple[SparkSession, str]] = []
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
+def stage(function: Stage) -> Stage:
+    """A stage that deletes the tables which the stage before has saved."""
 
-def with_rows(docs: DataFrame, purpose: str) -> DataFrame:
-    """``docs`` with a unique number ``_row``, written, so that every later read has the same numbers."""
-    return save(docs.withColumn("_row", F.monotonically_increasing_id()), purpose)
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(_EARLIER)
+        before = stored()
+        out = function(prepare(spark), docs, sf_dir)
+        _EARLIER[:] = [t for t in stored() if t not in before]
+        return out
 
+    return run_stage
 
+
+def with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number of each row in a new column, and its name.
+
+    Rows read from Parquet are numbered by file and place in it, so every later read gives the same
+    numbers. Other rows, or those of more than ``FILES`` files, are numbered in a written copy.
+    """
+    row = free_name(docs, "row_number")
+    file, place = free_name(docs, "row_file"), free_name(docs, "row_place")
+    try:
+        read = docs.metadataColumn("_metadata")
+        placed = docs.select("*", F.xxhash64(read["file_path"]).alias(file), read["row_index"].alias(place))
+        files = placed.select(file).distinct()
+        known = 0 < files.count() <= FILES and placed.filter(F.col(place).isNull()).isEmpty()
+    except AnalysisException:  # not read from files
+        known = False
+    if not known:
+        return save(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+    number = F.row_number().over(Window.orderBy(file)).cast("long")
+    files = save(files.withColumn(row, number), "files")
+    rows = placed.join(F.broadcast(files), file)
+    return rows.withColumn(row, F.shiftleft(row, 40) + F.col(place)).drop(file, place), row
+
+
+@stage
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; each row is judged, and those without id have no page's evidence."""
-    spark = prepare(spark)
-    rows = with_rows(docs, "language-rows")
-    judged = language.identify(rows, document_pages(table(spark, sf_dir, "pages")), row_col="_row")
-    rejected = save(judged.filter("not kept").select("_row"), "rejected")
-    return rows.join(rejected, "_row", "left_anti").select(docs.columns)
+    rows, row = with_rows(docs)
+    judged = language.identify(rows, document_pages(table(spark, sf_dir, "pages")), row_col=row)
+    rejected = save(judged.filter("not kept").select(row), "rejected")
+    return rows.join(rejected, row, "left_anti").drop(row)
 
 
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not more likely toxic than not."""
-    spark = prepare(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    graded = docs.withColumn("_toxicity", toxicity.grade(model)(F.col("text")))
-    return graded.filter(F.col("_toxicity.p_toxic") < 0.5).drop("_toxicity")
+    grade = free_name(docs, "toxicity")
+    graded = docs.withColumn(grade, toxicity.grade(model)(F.col("text")))
+    return graded.filter(F.col(grade)["p_toxic"] < 0.5).drop(grade)
 
 
+@stage
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each near-duplicate class, one without id where none has any.
 
     Every row is compared, whether it has an id or shares one with others; ties go by content.
     """
-    prepare(spark)
-    rows = with_rows(docs, "class-rows")
-    order = F.struct(
-        F.col("doc_id").isNull().alias("without"), "doc_id", F.xxhash64("text", "lang", "source").alias("hash"), "_row"
-    )
-    classes = jaccard.jaccard_classes(rows, id_col="_row").select("_row", "class_id")
-    least = classes.join(rows.select("_row", order.alias("order")), "_row").groupBy("class_id").agg(F.min("order").alias("o"))
-    kept = save(least.select("o._row"), "kept")
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    rows, row = with_rows(docs)
+    content = F.xxhash64("text", "lang", "source")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", content.alias("hash"), F.col(row).alias("row"))
+    classes = jaccard.jaccard_classes(rows, id_col=row).select(row, "class_id")
+    least = classes.join(rows.select(row, order.alias("order")), row).groupBy("class_id").agg(F.min("order").alias("least"))
+    kept = save(least.select(F.col("least.row").alias(row)), "kept")
+    return rows.join(kept.hint("merge"), row, "left_semi").drop(row)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix to the sources' target weights takes it.
 
     Rows are told apart by their id; those without one by a hash of their content, and rows that
     share either by a number, in the order of their content.
     """
-    prepare(spark)
+    rows, row = with_rows(docs)
     content = F.xxhash64("text", "lang", "source")
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), content))
-    number = F.row_number().over(Window.partitionBy("_name").orderBy(content, "text", "lang", "source"))
-    named = docs.withColumn("_name", name).withColumn("_number", number)
-    again = F.concat("_name", F.lit("#"), "_number")
-    keyed = named.withColumn("_mixed_id", F.when(F.col("_number") == 1, F.col("_name")).otherwise(again))
-    keyed = save(keyed.drop("_name", "_number"), "mix-rows")
-    mixed = mixing.mix(keyed, id_col="_mixed_id")
-    return mixing.repeated(keyed, mixed, id_col="_mixed_id").select(docs.columns)
-
-
+    narrow = rows.select(
+        F.col(row).alias("row"), name.alias("name"), content.alias("content"), "source",
+        mixing.word_count(F.col("text")).alias("words"),
+    )
+    narrow = numbered(save(narrow, "mix-rows"), ["content", "row"], "number", by=["name"])
+    again = F.when(F.col("number") == 0, F.col("name")).otherwise(F.concat("name", F.lit("#"), F.col("number") + 1))
+    named = save(narrow.select("row", again.alias("name"), "source", "words"), "mix-names")
+    mixed = mixing.mix(named, id_col="name", source_col="source", size_col="words").filter("taken > 0")
+    times = mixed.select("name", (F.col("taken") / F.col("size")).cast("int").alias("times"))
+    copies = free_name(rows, "times")
+    times = save(named.join(times, "name").select(F.col("row").alias(row), F.col("times").alias(copies)), "times")
+    taken = rows.join(times.hint("merge"), row)
+    copy = free_name(taken, "copy")
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(row, copies, copy)
+
+
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents with their sequence and offset."""
-    prepare(spark)
+    """Token pieces of all documents with their ids, their sequence and their offset in it.
+
+    ``packing.sequences`` puts the ids of a sequence together.
+    """
     pieces = packing.token_pieces(docs, tokenizer_path())
-    narrow = save(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
-    return packing.pack(narrow, ["doc_id", "piece", "ids_crc32"])
+    pieces = save(pieces.withColumns({"ids_crc32": F.crc32("ids"), "row": F.monotonically_increasing_id()}), "pieces")
+    placed = packing.pack(pieces.drop("ids"), ["doc_id", "piece", "ids_crc32"])
+    return placed.join(pieces.select("row", "ids").hint("merge"), "row").drop("row")
 
 
 STAGES = [
@@ -93,14 +152,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each written below the shared folder and read again."""
-    spark = prepare(spark)
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        if stage is STAGES[-1][1]:
-            return out
-        path = work_dir(spark, f"pipeline-{name.replace(' ', '-')}")
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
-    return docs
+    """The stages over ``documents``, each written below the shared folder and read again.
+
+    What a stage has returned is deleted once the next one's result is written.
+    """
+    docs = table(prepare(spark), sf_dir, "documents")
+    mine: list[tuple[SparkSession, str]] = []
+    for name, function in STAGES[:-1]:
+        out = function(spark, docs, sf_dir)
+        before = stored()
+        docs = store(out, f"pipeline-{name.replace(' ', '-')}")
+        release(mine)
+        mine = [t for t in stored() if t not in before]
+    return STAGES[-1][1](spark, docs, sf_dir)

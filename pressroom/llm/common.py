@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pressroom.session import configure, release, store  # noqa: F401
+from pressroom.session import configure, store
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -92,8 +92,10 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, reach: int = REACH
         take[i] += more
         rest -= more * int(lengths[i])
     # Sums that can be reached are the bits of an integer; each binary part of a count adds one shift.
+    # Every sum keeps the part that first made it, so that the way back needs no earlier state.
     mask = (1 << (rest + 1)) - 1
     reached, steps = 1, []
+    made = np.full(rest + 1, -1, np.int32)
     for i in order:
         length, left = int(lengths[i]), int(counts[i] - take[i])
         left = min(left, rest // length)
@@ -104,15 +106,17 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, reach: int = REACH
             part *= 2
             grown = (reached | reached << (n * length)) & mask
             if grown != reached:
-                steps.append((i, n, reached))
+                fresh = np.frombuffer((grown ^ reached).to_bytes(rest // 8 + 1, "little"), np.uint8)
+                made[np.flatnonzero(np.unpackbits(fresh, count=rest + 1, bitorder="little"))] = len(steps)
+                steps.append((i, n))
                 reached = grown
-        if reached >> rest & 1 or len(steps) > 4096:
+        if reached >> rest & 1:
             break
     goal = reached.bit_length() - 1
-    for i, n, before in reversed(steps):
-        if not before >> goal & 1:
-            take[i] += n
-            goal -= n * int(lengths[i])
+    while goal > 0:
+        i, n = steps[made[goal]]
+        take[i] += n
+        goal -= n * int(lengths[i])
     return take
 
 
@@ -126,6 +130,7 @@ def mix(
     most: float = MOST,
     seed: int = 17,
     reach: int = REACH,
+    size_col: str | None = None,
 ) -> DataFrame:
     """``(id, size, source_size, target, taken)`` per row: how many words of each document the mix takes.
 
@@ -133,13 +138,13 @@ def mix(
     ceil(``most``) times: as often as the target holds all of the source, and once more for those
     that ``fit`` chooses by length and a seeded order of ids within a length. Null and empty texts
     have size 0; a null source is a source of its own; a null id is ordered as 0. Repeated rows may
-    be told apart in any way, which changes no result. Sources of no size have target 0. No rows
+    be told apart in any way, which changes no result. ``size_col`` names a column of words counted
+    before, in place of the text. Sources of no size have target 0. No rows
     give no rows. Other columns are not looked at.
     """
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col)))
-    rows = docs.select(
-        F.col(id_col).alias("id"), key.alias("source_key"), word_count(F.col(text_col)).alias("size")
-    )
+    size = F.col(size_col).cast("long") if size_col else word_count(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), key.alias("source_key"), size.alias("size"))
     rows = rows.withColumn("draw", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(seed)))
     rows = save(rows.withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)).cast("int")), "sizes")
     fine = save(rows.groupBy("source_key", "size", "bucket").agg(F.count(F.lit(1)).alias("n")), "counts")

@@ -9,54 +9,66 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pressroom.llm.common import map_batches, runs
+from pressroom.llm.common import free_name, map_batches, runs
 from pressroom.llm.neardup import starts_of
 from pressroom.llm.textkit import pieces_of, span_hashes
 
 END_ID = 1
 SHARD = 16_384
-#: Entries of a Python worker's caches before those unused for long go; they change no result.
-CACHE = 40_000
-#: The tokenizer file's own rule for parts of a text without white space.
-PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 13, 32]] = True
+#: Bytes of a Python worker's cache of parts before those unused for long go; it changes no result.
+CACHE = 24 << 20
+#: Bytes that only arrays know for one cached part: key, place, number of ids, mark of use.
+_ENTRY = 8 + 8 + 4 + 1
 _PIECE = 1 << 20
 _ENCODERS: dict = {}
 
+#: Classes of bytes: white space that ends words, letters, digits, marks, and those that make a word
+#: irregular. C3 to C9 lead letters of one or two marks from U+00C0 to U+024F, but for a few.
+_SPACE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
+_CLASS = np.full(256, _ODD, np.uint8)
+_CLASS[[9, 10, 13, 32]] = _SPACE
+_CLASS[0x21:0x7F] = _MARK
+_CLASS[0x30:0x3A] = _DIGIT
+for _first, _last in ((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xBF), (0xC3, 0xC9)):
+    _CLASS[_first : _last + 1] = _LETTER
+_CLASS[0x27] = _ODD
+#: Multiplication and division sign, and the letter whose small form is two characters.
+_ODD_PAIRS = ((0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+
 
 class WordEncoder:
-    """Ids of texts through the ids of their words, each encoded once while it is cached.
-
-    The tokenizer drops white space and never joins over it, and ends the last id of every part of
-    a word with a word-end mark; so a text's ids are those of its words in a row, and new parts are
-    encoded many at a time and told apart by that mark. Added tokens (end of text and the like)
-    hold no white space and end without the mark: the tokenizer itself encodes a word that holds
-    one. Words are known by a 64-bit hash, looked up for all words of about a megabyte of text at
-    once.
+    """Ids of texts through the ids of their parts, each encoded once while it is cached.
+
+    The tokenizer drops white space and never joins over it, lower-cases, and encodes runs of
+    letters, single digits and runs of marks on their own. So a text's ids are those of its parts in
+    a row. Parts of ASCII and plain Latin words are found on whole arrays of bytes; a word with an
+    apostrophe, another character or the beginning of an added token (end of text and the like) is
+    one part as it stands. Parts are known by a 64-bit hash, looked up for about a megabyte of text
+    at once in one sorted array; new ones are encoded many at a time, told apart by the mark that
+    ends a part's last id, or for whole words by a word between them.
     """
 
     def __init__(self, path: str):
         import os
 
-        import regex
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        #: Added tokens are found in the text as it is, before case and parts; they stand in no cached unit.
-        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Added tokens are found in the text as it is, before case and parts.
+        added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd_pairs = {*_ODD_PAIRS, *((t[0], t[1]) for t in added if len(t) > 1)}
+        self.classes = _CLASS.copy()
+        self.classes[[t[0] for t in added if len(t) == 1]] = _ODD
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.split = regex.compile(PARTS).findall
-        self.beyond_latin = regex.compile(r"[^\x00-\u024f]|[\x1c-\x1f\x85\xa0]").search
-        self.units: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.between = self._encoded("\x02")
         self.keys = np.empty(0, np.uint64)
         self.at = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int32)
         self.used = np.empty(0, bool)
         self.pool = np.empty(0, np.uint32)
 
@@ -67,34 +79,33 @@ class WordEncoder:
             _ENCODERS[path] = WordEncoder(path)
         return _ENCODERS[path]
 
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn_units(self, units: list[str]) -> None:
-        for k in range(0, len(units), 2048):
-            part = units[k : k + 2048]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(cuts) == len(part):
-                data = ids.tobytes()
-                self.units.update(zip(part, (data[a:b] for a, b in zip([0, *cuts], cuts))))
-            else:
-                self.units.update((u, self.whole(u)) for u in part)
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        split = []
-        for word in (w.decode("utf-8", "replace") for w in words):
-            # Latin letters are composed already, and their lower case does not depend on others.
-            latin = word.isascii() or not self.beyond_latin(word)
-            marked = any(token in word for token in self.added)
-            split.append(self.split(word.lower()) if latin and not marked else word)
-        wanted = {u for parts in split if type(parts) is list for u in parts}
-        if len(self.units) > CACHE:
-            self.older, self.units = self.units, {}
-        self.units.update((u, self.older[u]) for u in wanted if u in self.older)
-        self._learn_units([u for u in wanted if u not in self.units])
-        get = self.units.__getitem__
-        return [b"".join(map(get, parts)) if type(parts) is list else self.whole(parts) for parts in split]
+        return self._encoded(text).tobytes()
+
+    def _parts_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each part, and all ids."""
+        ids = self._encoded(" ".join(parts))
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(parts) and (not len(cuts) or cuts[-1] == len(ids)):
+            return np.diff(cuts, prepend=0), ids
+        return self._each(parts)
+
+    def _words_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of any characters, with a word of one id between them."""
+        if len(self.between) == 1 and not any("\x02" in w for w in words):
+            ids = self._encoded(" \x02 ".join(words))
+            cuts = np.flatnonzero(ids == self.between[0])
+            if len(cuts) == len(words) - 1:
+                sizes = np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1
+                return sizes, np.delete(ids, cuts)
+        return self._each(words)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = [self._encoded(w) for w in words]
+        return np.array([len(x) for x in each], np.int64), np.concatenate(each)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.keys, keys)
@@ -103,39 +114,86 @@ class WordEncoder:
             return np.where(self.keys[at] == keys, at, -1)
         return np.full(len(keys), -1)
 
-    def _add(self, keys: np.ndarray, words: list[bytes]) -> None:
-        if len(self.keys) > 2 * CACHE:
-            stay = np.flatnonzero(self.used)
-            sizes = self.size[stay]
-            self.pool = self.pool[ragged(self.at[stay], sizes)]
-            self.keys, self.at, self.size = self.keys[stay], np.cumsum(sizes) - sizes, sizes
-            self.used = np.zeros(len(stay), bool)
-        ids = self._ids(words)
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
-        starts = len(self.pool) + np.cumsum(sizes) - sizes
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), np.uint32)])
-        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
-        for name, more in (("keys", keys), ("at", starts), ("size", sizes), ("used", np.ones(len(keys), bool))):
-            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
+    def _bytes(self, at: np.ndarray) -> int:
+        return len(at) * _ENTRY + 4 * int(self.size[at].sum())
+
+    def _make_room(self, wanted: np.ndarray) -> None:
+        """Only parts used since the last time stay, or those in ``wanted`` if they are too many."""
+        if len(self.keys) * _ENTRY + 4 * len(self.pool) <= CACHE:
+            return
+        stay = np.flatnonzero(self.used)
+        if self._bytes(stay) > CACHE // 2:
+            stay = np.unique(wanted)
+        sizes = self.size[stay]
+        self.pool = self.pool[ragged(self.at[stay], sizes)]
+        self.keys, self.at, self.size = self.keys[stay], np.cumsum(sizes, dtype=np.int64) - sizes, sizes
+        self.used = np.zeros(len(stay), bool)
+
+    def _add(self, keys: np.ndarray, parts: list[bytes], odd: np.ndarray) -> None:
+        order = np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))
+        plain = len(odd) - int(odd.sum())
+        sizes, ids = [np.empty(0, np.int64)], [self.pool]
+        for encode, at in ((self._parts_ids, order[:plain]), (self._words_ids, order[plain:])):
+            for k in range(0, len(at), 256):
+                n, found = encode([parts[i].decode("utf-8", "replace") for i in at[k : k + 256]])
+                sizes.append(n)
+                ids.append(found)
+        size = np.concatenate(sizes)
+        starts = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate(ids).astype(np.uint32, copy=False)
+        back = np.argsort(order)
+        place = np.searchsorted(self.keys, keys)
+        for name, more in (("keys", keys), ("at", starts[back]), ("size", size[back]), ("used", np.ones(len(keys), bool))):
+            held = getattr(self, name)
+            setattr(self, name, np.insert(held, place, more.astype(held.dtype, copy=False)))
+
+    def _spans(self, array: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Folded bytes, start and end of each part, and whether it is a word as it stands."""
+        kind = np.empty(len(array) + 2, np.uint8)
+        kind[0] = kind[-1] = _SPACE
+        inner = kind[1:-1]
+        np.take(self.classes, array, out=inner)
+        odd = inner == _ODD
+        for a, b in self.odd_pairs:
+            odd[:-1] |= (array[:-1] == a) & (array[1:] == b)
+        folded = _LOWER[array]
+        high = np.flatnonzero(array[:-1] == 0xC3) + 1
+        high = high[(array[high] >= 0x80) & (array[high] <= 0x9E)]
+        folded[high] += 0x20
+        if odd.any():
+            space = kind == _SPACE
+            edges = np.flatnonzero(space[1:] != space[:-1])
+            upto = np.concatenate(([0], np.cumsum(odd)))
+            first, last = edges[0::2], edges[1::2]
+            bad = upto[last] > upto[first]
+            paint = np.zeros(len(array) + 1, np.int8)
+            paint[first[bad]] = 1
+            paint[last[bad]] = -1
+            inside = np.cumsum(paint[:-1], dtype=np.int8).view(bool)
+            inner[inside] = _ODD
+            folded[inside] = array[inside]
+        here, before = kind[1:], kind[:-1]
+        change = here != before
+        starts = np.flatnonzero((here != _SPACE) & (change | (here == _DIGIT)))
+        ends = np.flatnonzero((before != _SPACE) & (change | (before == _DIGIT)))
+        return folded, starts, ends, inner[starts] == _ODD
 
     def _piece(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where the words of some bytes start, how many ids each has, and all ids."""
-        array = np.frombuffer(data, np.uint8)
-        inside = np.zeros(len(array) + 2, np.int8)
-        inside[1:-1] = ~_SPACE[array]
-        edges = np.flatnonzero(np.diff(inside))
-        starts, ends = edges[0::2], edges[1::2]
-        hashes = span_hashes(array, starts, ends)
-        keys, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        """Where the parts of some bytes start, how many ids each has, and all ids."""
+        folded, starts, ends, odd = self._spans(np.frombuffer(data, np.uint8))
+        keys, first, back = np.unique(span_hashes(folded, starts, ends), return_index=True, return_inverse=True)
         at = self._find(keys)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            self.used[at[at >= 0]] = True
-            self._add(keys[new], [data[starts[i] : ends[i]] for i in first[new]])
+        if (at < 0).any():
+            known = at[at >= 0]
+            self.used[known] = True
+            self._make_room(known)
+            new = np.flatnonzero(self._find(keys) < 0)
+            text = folded.tobytes()
+            self._add(keys[new], [text[starts[i] : ends[i]] for i in first[new]], odd[first[new]])
             at = self._find(keys)
         self.used[at] = True
         at = at[back]
-        sizes = self.size[at]
+        sizes = self.size[at].astype(np.int64)
         return starts, sizes, self.pool[ragged(self.at[at], sizes)]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -246,18 +304,20 @@ def pack(
     ``shard`` pieces, each packed on its own, longest first; full pieces are a sequence each. A
     shard leaves few bins part full, so the loss is a fixed share however many there are. Pieces
     over ``capacity`` and of null or negative length fail; those of length 0 share a place. The
-    result depends on the pieces alone. Extra columns pass through. No rows give no rows.
+    result depends on the pieces alone. Extra columns pass through, but for an earlier
+    ``sequence_id`` or ``offset``, which are replaced. No rows give no rows.
     """
-    count = pieces.count()
-    shards = max(1, math.ceil(count / shard))
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(*keys), F.lit(shards)).cast("int"))
+    pieces = pieces.drop("sequence_id", "offset")
+    shards = max(1, math.ceil(pieces.count() / shard))
+    name = free_name(pieces, "shard_of_pieces")
+    dealt = pieces.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(shards)).cast("int"))
     out_schema = T.StructType([
         *pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["_shard"]):
-            bounds = starts_of(group["_shard"].to_numpy())
+        for group in runs(batches, [name]):
+            bounds = starts_of(group[name].to_numpy())
             for lo, hi in zip(bounds[:-1], bounds[1:]):
                 part = group.slice(lo, hi - lo)
                 lengths = part[length_col].to_numpy()
@@ -266,12 +326,12 @@ def pack(
                 order = np.lexsort((np.arange(len(lengths)), -lengths))
                 bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
                 bins[order], offsets[order] = sum_of_squares(lengths[order], capacity)
-                bins += int(part["_shard"][0].as_py()) << 40
-                part = part.drop_columns(["_shard"])
+                bins += int(part[name][0].as_py()) << 40
+                part = part.drop_columns([name])
                 part = part.append_column("sequence_id", pa.array(bins)).append_column("offset", pa.array(offsets))
                 yield from part.combine_chunks().to_batches()
 
-    dealt = dealt.repartition("_shard").sortWithinPartitions("_shard", *keys)
+    dealt = dealt.repartition(name).sortWithinPartitions(name, *keys)
     return map_batches(dealt, work, out_schema)
 
 

@@ -271,6 +271,8 @@ def test_fit_finds_the_best_sum():
         take = mixing.fit(lengths, counts, budget)
         assert (take >= 0).all() and (take <= counts).all()
         assert (take * lengths).sum() == max(s for s in sums if s <= budget)
+    lengths = np.array([61071, *range(66000, 76001, 2)])
+    assert (mixing.fit(lengths, np.ones(len(lengths), int), 131071) * lengths).sum() == 131071
     lengths, counts = np.arange(1, 400), np.full(399, 1000)
     assert (mixing.fit(lengths, counts, 33_333_333, reach=5000) * lengths).sum() == 33_333_333
 
@@ -322,6 +324,23 @@ def test_cache_turnover_changes_nothing(monkeypatch):
     assert all(encoder.encode([t])[0].tobytes() == encoder.whole(t.decode()) for t in texts)
 
 
+def test_parts_of_words_as_the_tokenizer_cuts_them():
+    encoder = packing.WordEncoder(tokenizer_path())
+    rng = random.Random(5)
+    letters = "abcXYZ éÉßñÑİıŁłȺ×÷ΣσςЖ中0129'.,;!?-<|>\x02\x0b\x1c\xa0\u0301\u200d🙂ʼŉſ\n\t"
+    texts = ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(3000)]
+    texts += ["don't I'LL we've x''s ('s", "É É é é", "a\x02b \x02 c", "Ab9cd99.5%", "<|endoftext|>x <|END", "×÷ a×b"]
+    got = encoder.encode([t.encode() for t in texts])
+    assert [g.astype("<u4").tobytes() for g in got] == [encoder.whole(t) for t in texts]
+
+
+def test_packing_replaces_clashing_columns(session):
+    pieces = session.createDataFrame([(1, 0, 3, 9, 9, 7), (2, 0, 4, 9, 9, 7)], "doc_id long, piece int, length long, offset long, sequence_id long, _shard long")
+    placed = packing.pack(pieces, ["doc_id", "piece"], capacity=10)
+    assert set(placed.columns) == set(pieces.columns)
+    assert sorted((r["offset"], r["_shard"]) for r in placed.collect()) == [(0, 7), (4, 7)]
+
+
 def test_packing_is_gapless_and_tight(session, documents):
     rng = random.Random(8)
     rows = [(i, k, 0, rng.choice([100, 100, rng.randrange(1, 90), rng.randrange(1, 60)]), i) for i in range(900) for k in range(1 + i % 3 // 2)]

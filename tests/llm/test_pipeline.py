@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pressroom.llm import jaccard, language, mixing, toxicity
+from pressroom.llm import jaccard, language, mixing, packing, toxicity
 from pressroom.llm.queries import document_pages, llm_queries
+from pressroom.session import stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -114,6 +115,32 @@ def test_mixing_tells_equal_rows_without_id_apart(session):
 def test_queries_return_a_row_for_each_row(session):
     tables = {"op1": "pages", "op4": "pages", "op7": "embeddings"}
     for name, query in llm_queries().items():
+        if name.startswith(("op11", "op13")):  # nodes and conversations: see test_structures
+            continue
         rows = query(session, SF).count()
         there = session.read.parquet(f"{SF}/{tables.get(name.split('_')[0], 'documents')}.parquet").count()
         assert rows >= there if name.startswith("op9") else rows == there, name
+
+
+def test_clashing_columns_pass_through_and_tables_go(session, tmp_path):
+    path = str(tmp_path / "tables")
+    session.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{path}/pages.parquet")
+    session.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    names = ["row_number", "row_file", "row_place", "_metadata", "toxicity", "times", "copy", "number", "name", "id"]
+    spec = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    rng = random.Random(2)
+    rows = [(i, " ".join("".join(rng.choices("vwxyz", k=5)) for _ in range(30)), "en", "a", 1, *[f"{n}{i}" for n in names]) for i in range(40)]
+    session.createDataFrame(rows, spec).repartition(3).write.parquet(f"{path}/documents.parquet")
+    docs, before = session.read.parquet(f"{path}/documents.parquet"), stored()
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(session, docs, path)
+        assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / str(k)))
+        docs = session.read.parquet(str(tmp_path / str(k)))
+        got = {tuple(r) for r in docs.collect()}
+        assert got and got <= set(rows) and (k > 2 or len(got) == 40)
+    packed = corpus_pipeline.pack_sequences(session, docs, path)
+    assert len([t for t in stored() if t not in before]) <= 4  # those of the last stage alone
+    whole = packing.sequences(packed.select("sequence_id", "offset", "length", "ids")).collect()
+    assert sum(len(r["ids"]) // 4 for r in whole) == sum(r["length"] for r in packed.collect())
+    assert all(len(r["ids"]) == 4 * r["length"] <= 4 * 4096 for r in whole)
