@@ -120,6 +120,7 @@ def with_summary(
     embed=None,
     token_counter=token_count,
     sentence_counter=None,
+    sentences: str | None = None,
     compat: bool = False,
 ) -> DataFrame:
     """Add the text cut down to its most central sentences, in their own order.
@@ -128,14 +129,15 @@ def with_summary(
     cannot be cut to size, give null. ``embed`` may turn the sentence array column into an array
     of vectors; by default the words of the sentences are compared. A ``token_counter`` that is
     a Python function needs a ``sentence_counter`` beside it, from the sentence array to the array
-    of counts. The work arrays of short texts are null, so they cost next to nothing.
+    of counts. ``sentences`` names a column of sentences found before, in place of cutting after
+    every mark. The work arrays of short texts are null, so they cost next to nothing.
     """
     is_long = F.col("_tokens") >= max_tokens
     long_text = F.when(is_long, F.col(text))
     enough = F.size("_all") >= V.LOCAL_WINDOW
     df = (
         df.withColumn("_tokens", token_counter(F.col(text)))
-        .withColumn("_all", S.split_sentences(long_text))
+        .withColumn("_all", F.when(is_long, F.col(sentences)) if sentences else S.split_sentences(long_text))
         .withColumn("_sentences", F.when(enough, F.col("_all")))
         .withColumns(
             {

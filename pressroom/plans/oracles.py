@@ -8,6 +8,7 @@ from __future__ import annotations
 from pressroom import fixed_values as V
 from pressroom.functions import html as H
 from pressroom.functions import text as X
+from pressroom.plans.text_oracles import learned_oracles
 
 
 def q(text: str) -> str:
@@ -257,12 +258,15 @@ similarity AS (
   FROM normed a JOIN normed b ON a.{key} = b.{key} AND a.term = b.term GROUP BY ALL)"""
 
 
-def summary_ctes(source: str, key: str) -> str:
-    """CTE summaries(key, summary) over ``source(key, text)``: short texts as they are."""
+def summary_ctes(source: str, key: str, found: str | None = None) -> str:
+    """CTE summaries(key, summary) over ``source(key, text)``: short texts as they are.
+
+    ``found`` may be another CTE sentences(key, idx, sentence, n) of ``long_texts``.
+    """
     return f"""
 sized AS (SELECT {key}, text, {tokens('text')} AS n_tokens FROM {source}),
 long_texts AS (SELECT {key}, text FROM sized WHERE n_tokens >= 1000),
-{sentence_ctes('long_texts', key)},
+{found or sentence_ctes('long_texts', key)},
 lengths AS (SELECT *, {space_words('sentence')} AS n_words, {tokens('sentence')} AS n_tokens FROM sentences WHERE n >= 3),
 {weight_ctes(key)},
 {tfidf_ctes(key)},
@@ -486,6 +490,8 @@ SELECT doc_id, idx::INT AS idx, round(centrality, 6) AS centrality,
     sql["summary"] = f"""WITH {docs}, {summary_ctes('docs', 'doc_id')}
 SELECT doc_id, md5(summary) AS summary_md5, {tokens('summary')} AS n_tokens FROM summaries"""
 
+    sql |= learned_oracles(summary_ctes, tokens)
+
     sql["prompt_messages"] = f"""WITH {MESSAGES}
 SELECT doc_id::VARCHAR AS news_id, pos, role, md5(content) AS content_md5 FROM messages"""
     sql["batch_requests"] = f"""WITH {REQUESTS}

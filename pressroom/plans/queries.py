@@ -14,7 +14,7 @@ from pressroom.functions.dates import request_range
 from pressroom.functions.html import host, with_blocks
 from pressroom.functions.summary import with_centrality, with_sentence_scores, with_summary
 from pressroom.functions.text import measure, token_count, with_clean_text, with_spam_score
-from pressroom.operators import analysis, articles, ingest, prices, scrape
+from pressroom.operators import analysis, articles, boundaries, ingest, prices, scrape
 from pressroom.operators import status as work
 from pressroom.plans import analysis as analysis_plan
 from pressroom.plans import standins as I
@@ -415,6 +415,44 @@ def sentences(spark, sf):
     )
 
 
+@query
+def sentence_boundaries(spark, sf):
+    """Abbreviations, sentence starters and collocations learned from all documents."""
+    learned = boundaries.learn(I.abbreviated(spark, sf))
+
+    def rows(df, kind, following):
+        return df.select(
+            F.lit(kind).alias("kind"), "type", following.alias("next_type"), F.round("score", 6).alias("score")
+        )
+
+    none = F.lit(None).cast("string")
+    return (
+        rows(learned.abbreviations, "abbreviation", none)
+        .union(rows(learned.starters, "starter", none))
+        .union(rows(learned.collocations, "collocation", F.col("next_type")))
+    )
+
+
+@query
+def sentences_learned(spark, sf):
+    """Sentences of all documents by learned boundaries."""
+    docs = I.abbreviated(spark, sf)
+    cut = boundaries.with_learned_sentences(docs, "doc_id", boundaries.learn(docs))
+    rows = explode_rows(cut, ["doc_id"], "sentences", "idx", "sentence")
+    return rows.select(
+        "doc_id", "idx", F.md5("sentence").alias("sentence_md5"), S.space_words(F.col("sentence")).alias("n_words")
+    )
+
+
+@query
+def summary_learned(spark, sf):
+    """Summaries over sentences by learned boundaries."""
+    docs = I.abbreviated(spark, sf)
+    cut = boundaries.with_learned_sentences(docs, "doc_id", boundaries.learn(docs))
+    out = with_summary(cut, "text", "summary", sentences="sentences")
+    return out.select("doc_id", F.md5("summary").alias("summary_md5"), token_count(F.col("summary")).alias("n_tokens"))
+
+
 @query
 def sentence_weights(spark, sf):
     """Length quantile and weights, and position scores, of every sentence."""

@@ -26,6 +26,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
+def abbreviated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that begin with titles, initials, numbers and abbreviations, by id."""
+    kind = F.col("doc_id") % 4
+    head = (
+        F.when(kind == 0, "Mr. Brown of the U.S. office met J. Adams on no. 5 of the list. The talk ended. ")
+        .when(kind == 1, "Dr. Green paid 5. The rest went to Mr. White and Mr. Brown. \"It is done.\" The U.S. The end. ")
+        .when(kind == 2, "It costs 5. or less, etc. and J. Smith left... Then the U.S. market closed. The (small) no. 7 won! ")
+        .otherwise("")
+    )
+    return documents(spark, sf_dir).select("doc_id", F.concat(head, "text").alias("text"))
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages"), "page_id")
 
