@@ -120,6 +120,10 @@ DROPPED_CLASSES = (
     "navbar navigation newsletter promo related share sharing sidebar social sponsored"
 ).split()
 
+# Worth of a text block where a page marks no article: its words less these.
+BLOCK_COST = 8
+TAG_COST = 2
+
 # ---------------------------------------------------------------------------
 # Feed request parameters
 # ---------------------------------------------------------------------------

@@ -1,58 +1,14 @@
-"""Main-text extraction from HTML as column expressions; one row in, one row out."""
+"""Main-text extraction from HTML as column expressions; one row in, one row out.
+
+Markup is read by ``markup.page_parts``; which blocks stay is decided here.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom import fixed_values as V
-
-_CUT, _LINK, _UNLINK = "\x01", "\x02", "\x03"
-
-DROPPED = "(?is)<!--.*?-->|" + "|".join(
-    rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in V.DROPPED_ELEMENTS
-)
-DROPPED_BOX = (
-    r"(?is)<(?:div|section|ul)\s(?:[^>]*\s)?(?:class|id)=\"(?:[^\">]*[\s_-])?(?:"
-    + "|".join(V.DROPPED_CLASSES)
-    + r")(?:[\s_-][^\">]*)?\"[^>]*>.*?</(?:div|section|ul)\s*>"
-)
-ARTICLE = r"(?is)<article(?:\s[^>]*)?>(.*)</article"
-MAIN = r"(?is)<main(?:\s[^>]*)?>(.*)</main"
-BLOCK_TAG = r"(?i)</?(?:" + "|".join(V.BLOCK_ELEMENTS) + r")(?:\s[^>]*)?/?>"
-PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>(.*?)</p"
-ANY_TAG = r"(?s)<[^>]*>"
-LINK_TEXT = r"\x02[^\x02\x03]*"
-NUMERIC_ENTITY = r"(?s)^#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
-
-
-def _numeric_entity(part: Column) -> Column:
-    """``#8217;rest`` or ``#x2019;rest``, as found after an ampersand, to its character."""
-    digits = F.regexp_extract(part, r"^#[xX]?([0-9A-Fa-f]+);", 1)
-    code = F.when(part.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-    rest = F.regexp_replace(part, NUMERIC_ENTITY, "")
-    return F.concat(F.coalesce(char, F.lit("\ufffd")), rest)
-
-
-def unescape(text: Column) -> Column:
-    """Decode named and numeric entities. ``&amp;`` is decoded last, so nothing is decoded twice."""
-    parts = F.split(text, "&")
-    text = F.array_join(
-        F.concat(
-            F.slice(parts, 1, 1),
-            F.transform(
-                F.slice(parts, 2, F.size(parts)),
-                lambda part: F.when(part.rlike(NUMERIC_ENTITY), _numeric_entity(part)).otherwise(
-                    F.concat(F.lit("&"), part)
-                ),
-            ),
-        ),
-        "",
-    )
-    for name, char in V.HTML_ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
+from pressroom.functions.markup import page_parts
 
 
 def _plain(text: Column) -> Column:
@@ -61,58 +17,31 @@ def _plain(text: Column) -> Column:
 
 
 def with_blocks(df: DataFrame, html: str = "html", out: str = "blocks") -> DataFrame:
-    """Add the kept text blocks of a page, in order, as ``array<string>``.
+    """Add the kept text blocks of a page, in order, as ``array<string>``, and ``_paragraphs``.
 
-    Comments, scripts, navigation, tables, forms and boxes named like advertisements go; the
-    rest of the article element (or the whole page) is cut at block tags. A block stays when it
-    has a word and at most half of its characters are link text.
+    Comments, scripts, navigation, tables, forms and boxes named like advertisements go, each up to
+    the closer that matches it, whatever is nested inside; the rest of the article element (or the
+    whole page) is cut at block tags. A block stays when it has a word and at most half of its
+    characters are link text. An opener or comment that is never closed takes no text along.
     """
-    cut = F.regexp_replace(F.col("_body"), BLOCK_TAG, _CUT)
-    cut = F.regexp_replace(cut, r"(?i)<a(?:\s[^>]*)?>", _LINK)
-    cut = F.regexp_replace(cut, r"(?i)</a\s*>", _UNLINK)
-    cut = F.regexp_replace(cut, ANY_TAG, "")
-    # Entities are decoded once for the whole page, after the tags are gone.
-    escaped = F.col("_cut").contains("&")
-    cut_text = F.when(escaped, unescape(F.col("_cut"))).otherwise(F.col("_cut"))
 
     def keep(block: Column) -> Column:
-        text = F.translate(block, _LINK + _UNLINK, "")
-        linked = F.length(block) - F.length(F.regexp_replace(block, LINK_TEXT, ""))
-        return text.rlike(V.WORD) & (linked * 2 <= F.length(text))
+        return block["text"].rlike(V.WORD) & (block["linked"] * 2 <= F.length(block["text"]))
 
     return (
-        df.withColumn("_kept", F.regexp_replace(F.col(html), DROPPED, " "))
-        .withColumn("_kept", F.regexp_replace("_kept", DROPPED_BOX, " "))
-        .withColumn("_article", F.regexp_extract("_kept", ARTICLE, 1))
-        .withColumn("_main", F.regexp_extract("_kept", MAIN, 1))
-        .withColumn(
-            "_body",
-            F.when(F.col("_article") != "", F.col("_article"))
-            .when(F.col("_main") != "", F.col("_main"))
-            .otherwise(F.col("_kept")),
-        )
-        .withColumn("_cut", cut)
-        .withColumn("_pieces", F.filter(F.split(cut_text, _CUT), keep))
-        .withColumn(
-            out,
-            F.transform("_pieces", lambda block: _plain(F.translate(block, _LINK + _UNLINK, ""))),
-        )
-        .drop("_article", "_main", "_body", "_cut", "_pieces")
+        df.withColumn("_parts", page_parts(F.col(html)))
+        .withColumn("_pieces", F.filter("_parts.blocks", keep))
+        .withColumn(out, F.transform("_pieces", lambda block: _plain(block["text"])))
+        .withColumn("_paragraphs", F.col("_parts.paragraphs"))
+        .drop("_parts", "_pieces")
     )
 
 
 def with_fallback(df: DataFrame, blocks: str = "blocks", out: str = "full_text") -> DataFrame:
     """Join the kept blocks by line; when none is left, take all paragraphs of the page."""
-    paragraphs = F.regexp_extract_all(F.col("_kept"), F.lit(PARAGRAPH), F.lit(1))
-    joined = F.array_join(
-        F.filter(
-            F.transform(paragraphs, lambda p: _plain(unescape(F.regexp_replace(p, ANY_TAG, " ")))),
-            lambda p: p != "",
-        ),
-        "\n",
-    )
+    joined = F.array_join(F.filter(F.transform("_paragraphs", _plain), lambda p: p != ""), "\n")
     text = F.when(F.size(blocks) > 0, F.array_join(blocks, "\n")).otherwise(joined)
-    return df.withColumn(out, text).withColumn(out, F.nullif(F.col(out), F.lit(""))).drop("_kept")
+    return df.withColumn(out, text).withColumn(out, F.nullif(F.col(out), F.lit(""))).drop("_paragraphs")
 
 
 def with_text(df: DataFrame, html: str = "html", out: str = "full_text") -> DataFrame:
@@ -122,3 +51,59 @@ def with_text(df: DataFrame, html: str = "html", out: str = "full_text") -> Data
 
 def host(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)
+
+
+def with_dense_text(df: DataFrame, html: str = "html", out: str = "full_text") -> DataFrame:
+    """Add the text of the densest run of blocks, for pages that mark no article.
+
+    A block is worth its words, less ``V.BLOCK_COST`` and ``V.TAG_COST`` for each tag inside it; words
+    count against it where most of it is links. Worths are smoothed over both neighbours, and the run
+    with the greatest sum is found by running sums in one fold; of equal ones the first end and the
+    last start. Pages without such a run fall back as ``with_fallback`` does.
+    """
+    linked = F.transform("_words", lambda b: b["linked"] * 2 > F.length(b["text"]))
+    words = F.transform("_words", lambda b: F.regexp_count(b["text"], F.lit(V.WORD)))
+    cost = F.transform("_words", lambda b: V.BLOCK_COST + V.TAG_COST * b["tags"])
+    worth = F.zip_with(F.zip_with(words, linked, lambda n, bad: F.when(bad, -n).otherwise(n)), cost, lambda n, c: n - c)
+    n, zero = F.size("_worth"), F.array(F.lit(0))
+    before = F.concat(zero, F.slice("_worth", F.lit(1), F.greatest(n - 1, F.lit(0))))
+    after = F.concat(F.slice("_worth", F.lit(2), F.greatest(n - 1, F.lit(0))), zero)
+    near = F.zip_with(before, after, lambda a, b: a + b)
+    smooth = F.zip_with(F.slice(near, F.lit(1), n), "_worth", lambda a, b: F.coalesce(a, F.lit(0)) + 2 * b)
+
+    def state(now, start, best, first, last, at):
+        return F.struct(
+            now.cast("long").alias("now"), start.cast("int").alias("start"), best.cast("long").alias("best"),
+            first.cast("int").alias("first"), last.cast("int").alias("last"), at.cast("int").alias("at"),
+        )
+
+    def step(run, value):
+        fresh = run["now"] <= 0
+        now = F.when(fresh, value).otherwise(run["now"] + value)
+        start = F.when(fresh, run["at"]).otherwise(run["start"])
+        better = now > run["best"]
+        return state(
+            now, start, F.greatest(now, run["best"]), F.when(better, start).otherwise(run["first"]),
+            F.when(better, run["at"]).otherwise(run["last"]), run["at"] + 1,
+        )
+
+    def keep(block: Column) -> Column:
+        return block["linked"] * 2 <= F.length(block["text"])
+
+    none = F.lit(0)
+    found = F.aggregate("_smooth", state(none, none, none, none, F.lit(-1), none), step)
+    run = F.slice("_words", F.col("_run.first") + 1, F.col("_run.last") - F.col("_run.first") + 1)
+    dense = F.array_join(F.transform(F.filter(run, keep), lambda b: _plain(b["text"])), "\n")
+    cut = (
+        df.withColumn("_parts", page_parts(F.col(html)))
+        .withColumn("_words", F.filter("_parts.blocks", lambda b: b["text"].rlike(V.WORD)))
+        .withColumn("_worth", worth)
+        .withColumn("_smooth", smooth)
+        .withColumn("_run", found)
+        .withColumn("_dense", F.when(F.col("_run.best") > 0, dense))
+        .withColumn("_blocks", F.transform(F.filter("_words", keep), lambda b: _plain(b["text"])))
+        .withColumn("_paragraphs", F.col("_parts.paragraphs"))
+    )
+    whole = with_fallback(cut, "_blocks", out)
+    text = F.coalesce(F.nullif(F.col("_dense"), F.lit("")), F.col(out))
+    return whole.withColumn(out, text).drop("_parts", "_words", "_worth", "_smooth", "_run", "_dense", "_blocks")

@@ -162,7 +162,7 @@ def extract_text(
     hashes = F.transform("blocks", F.md5)
     (
         with_blocks(pages.withColumn("host", host(F.col(url))))
-        .select(key, "host", "blocks", hashes.alias("hashes"), "_kept")
+        .select(key, "host", "blocks", hashes.alias("hashes"), "_paragraphs")
         .write.parquet(path)
     )
     cut = spark.read.parquet(path)

@@ -6,7 +6,6 @@ Word lists, patterns and texts come from the fixed values; the logic is stated a
 from __future__ import annotations
 
 from pressroom import fixed_values as V
-from pressroom.functions import html as H
 from pressroom.functions import text as X
 from pressroom.plans.text_oracles import learned_oracles
 
@@ -79,6 +78,26 @@ curated AS (
 
 # -- pages -----------------------------------------------------------------------------------
 
+DROPPED_ELEMENTS = "head script style noscript template iframe svg canvas nav footer aside form button select table figure".split()
+BLOCK_ELEMENTS = "p div h1 h2 h3 h4 h5 h6 ul ol li dl dt dd br hr article section main header blockquote pre body html".split()
+DROPPED_CLASSES = (
+    "ad ads advert advertisement banner breadcrumb comment comments cookie footer menu nav navbar navigation newsletter "
+    "promo related share sharing sidebar social sponsored"
+).split()
+DROPPED = "(?is)<!--.*?-->|" + "|".join(
+    rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in DROPPED_ELEMENTS
+)
+DROPPED_BOX = (
+    r"(?is)<(?:div|section|ul)\s(?:[^>]*\s)?(?:class|id)=\"(?:[^\">]*[\s_-])?(?:"
+    + "|".join(DROPPED_CLASSES)
+    + r")(?:[\s_-][^\">]*)?\"[^>]*>.*?</(?:div|section|ul)\s*>"
+)
+ARTICLE = r"(?is)<article(?:\s[^>]*)?>(.*)</article"
+MAIN = r"(?is)<main(?:\s[^>]*)?>(.*)</main"
+BLOCK_TAG = r"(?i)</?(?:" + "|".join(BLOCK_ELEMENTS) + r")(?:\s[^>]*)?/?>"
+PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>(.*?)</p"
+ANY_TAG = r"(?s)<[^>]*>"
+
 
 def unescape(text: str) -> str:
     for name, char in V.HTML_ENTITIES.items():
@@ -88,16 +107,16 @@ def unescape(text: str) -> str:
 
 def block_ctes(source: str, key: str) -> str:
     """CTEs kept and blocks(key, pos, block) over ``source(key, html)``."""
-    body = "regexp_replace(regexp_replace(html, " + f"{q(H.DROPPED)}, ' ', 'g'), {q(H.DROPPED_BOX)}, ' ', 'g')"
-    cut = f"regexp_replace(body, {q(H.BLOCK_TAG)}, chr(1), 'g')"
+    body = "regexp_replace(regexp_replace(html, " + f"{q(DROPPED)}, ' ', 'g'), {q(DROPPED_BOX)}, ' ', 'g')"
+    cut = f"regexp_replace(body, {q(BLOCK_TAG)}, chr(1), 'g')"
     cut = f"regexp_replace({cut}, '(?i)<a(?:\\s[^>]*)?>', chr(2), 'g')"
     cut = f"regexp_replace({cut}, '(?i)</a\\s*>', chr(3), 'g')"
-    cut = f"regexp_replace({cut}, {q(H.ANY_TAG)}, '', 'g')"
+    cut = f"regexp_replace({cut}, {q(ANY_TAG)}, '', 'g')"
     return f"""
 kept AS (SELECT {key}, {body} AS kept FROM {source}),
 bodies AS (
-  SELECT {key}, kept, coalesce(nullif(regexp_extract(kept, {q(H.ARTICLE)}, 1), ''),
-    nullif(regexp_extract(kept, {q(H.MAIN)}, 1), ''), kept) AS body FROM kept),
+  SELECT {key}, kept, coalesce(nullif(regexp_extract(kept, {q(ARTICLE)}, 1), ''),
+    nullif(regexp_extract(kept, {q(MAIN)}, 1), ''), kept) AS body FROM kept),
 pieces AS (
   SELECT {key}, unnest(string_split({unescape(cut)}, chr(1))) AS piece,
     unnest(generate_series(1, len(string_split({cut}, chr(1))))) AS pos FROM bodies),
@@ -110,18 +129,58 @@ blocks AS (
 
 def page_text_ctes(source: str, key: str, blocks: str = "blocks") -> str:
     """CTEs as above and page_text(key, full_text)."""
-    paragraph = squeeze(unescape(f"regexp_replace(p, {q(H.ANY_TAG)}, ' ', 'g')"))
+    paragraph = squeeze(unescape(f"regexp_replace(p, {q(ANY_TAG)}, ' ', 'g')"))
     return f"""
 joined AS (SELECT {key}, string_agg(block, chr(10) ORDER BY pos) AS text FROM {blocks} GROUP BY {key}),
 fallback AS (
   SELECT {key}, array_to_string(list_filter(list_transform(
-    regexp_extract_all(kept, {q(H.PARAGRAPH)}, 1), lambda p: {paragraph}), lambda p: p <> ''), chr(10)) AS text
+    regexp_extract_all(kept, {q(PARAGRAPH)}, 1), lambda p: {paragraph}), lambda p: p <> ''), chr(10)) AS text
   FROM kept),
 page_text AS (
   SELECT s.{key}, nullif(coalesce(j.text, f.text), '') AS full_text
   FROM {source} s LEFT JOIN joined j USING ({key}) LEFT JOIN fallback f USING ({key}))"""
 
 
+def density_ctes() -> str:
+    """CTE dense(page_id, full_text) over ``source(page_id, html)``."""
+    cut = f"regexp_replace(body, {q(BLOCK_TAG)}, chr(1), 'g')"
+    cut = f"regexp_replace({cut}, '(?i)<a(?:\\s[^>]*)?>', chr(2), 'g')"
+    cut = f"regexp_replace({cut}, '(?i)</a\\s*>', chr(3), 'g')"
+    cut = f"regexp_replace({cut}, {q(ANY_TAG)}, chr(4), 'g')"
+    return f"""{block_ctes('source', 'page_id')},
+{page_text_ctes('source', 'page_id')},
+marked AS (
+  SELECT page_id, unnest(string_split({unescape(cut)}, chr(1))) AS piece,
+    unnest(generate_series(1, len(string_split({cut}, chr(1))))) AS pos FROM bodies),
+worded AS (
+  SELECT page_id, pos, translate(piece, chr(2) || chr(3) || chr(4), '') AS text,
+    length(piece) - length(translate(piece, chr(2) || chr(3) || chr(4), '')) AS tags,
+    length(translate(piece, chr(4), '')) - length(regexp_replace(translate(piece, chr(4), ''), '\\x02[^\\x02\\x03]*', '', 'g')) AS linked
+  FROM marked),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS i, linked * 2 > length(text) AS links
+  FROM worded WHERE regexp_matches(text, '[\\p{{L}}\\p{{N}}_]')),
+worths AS (
+  SELECT *, (CASE WHEN links THEN -1 ELSE 1 END) * len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+')) - 8 - 2 * tags AS worth
+  FROM numbered),
+smoothed AS (
+  SELECT *, coalesce(lag(worth) OVER w, 0) + 2 * worth + coalesce(lead(worth) OVER w, 0) AS value
+  FROM worths WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+sums AS (SELECT *, sum(value) OVER (PARTITION BY page_id ORDER BY i) AS total FROM smoothed),
+lows AS (
+  SELECT *, least(0, coalesce(min(total) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS low
+  FROM sums),
+last_of AS (
+  SELECT page_id, arg_min(i, (-(total - low), i)) AS last, arg_min(low, (-(total - low), i)) AS low, max(total - low) AS best
+  FROM lows GROUP BY page_id HAVING max(total - low) > 0),
+runs AS (
+  SELECT l.page_id, l.last, coalesce(max(s.i) FILTER (s.i < l.last AND s.total = l.low), 0) + 1 AS first
+  FROM last_of l JOIN sums s USING (page_id) GROUP BY ALL),
+dense AS (
+  SELECT r.page_id, string_agg({squeeze('b.text')}, chr(10) ORDER BY b.i) AS text
+  FROM runs r JOIN numbered b ON b.page_id = r.page_id AND b.i BETWEEN r.first AND r.last AND NOT b.links GROUP BY 1)"""
+
+
 FETCHED = """
 fetched AS (
   SELECT page_id, url AS news_url,
@@ -439,6 +498,15 @@ SELECT {text_columns} FROM page_text"""
   SELECT host, md5(block) AS block_md5, count(DISTINCT page_id) AS n_pages
   FROM blocks JOIN (SELECT page_id, {host} FROM pages) USING (page_id) GROUP BY ALL
   HAVING count(DISTINCT page_id) >= 2)"""
+    sql["extract_traps"] = f"""WITH source AS (SELECT page_id, html FROM pages),
+{block_ctes('source', 'page_id')}, {page_text_ctes('source', 'page_id')}
+SELECT page_id, md5(full_text) AS text_md5, length(full_text)::INT AS n_chars FROM page_text"""
+    sql["extract_density"] = f"""WITH source AS (
+  SELECT page_id, CASE WHEN page_id % 2 = 0 THEN replace(replace(html, '<article', '<div'), '</article', '</div') ELSE html END AS html
+  FROM pages),
+{density_ctes()}
+SELECT page_id, md5(coalesce(d.text, full_text)) AS text_md5, length(coalesce(d.text, full_text))::INT AS n_chars
+FROM page_text LEFT JOIN dense d USING (page_id)"""
     sql["boilerplate_blocks"] = f"""WITH {block_ctes('pages', 'page_id')}, {repeated}
 SELECT host, block_md5, n_pages FROM repeated"""
     sql["extract_text_unrepeated"] = f"""WITH {block_ctes('pages', 'page_id')}, {repeated},

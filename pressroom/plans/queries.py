@@ -11,7 +11,7 @@ from pressroom import fixed_values as V
 from pressroom.functions import sentences as S
 from pressroom.functions.arrays import explode_rows
 from pressroom.functions.dates import request_range
-from pressroom.functions.html import host, with_blocks
+from pressroom.functions.html import host, with_blocks, with_dense_text
 from pressroom.functions.summary import with_centrality, with_sentence_scores, with_summary
 from pressroom.functions.text import measure, token_count, with_clean_text, with_spam_score
 from pressroom.operators import analysis, articles, boundaries, ingest, prices, scrape
@@ -364,6 +364,20 @@ def extract_text(spark, sf):
     return text.select("page_id", F.md5("full_text").alias("text_md5"), F.length("full_text").alias("n_chars"))
 
 
+@query
+def extract_traps(spark, sf):
+    """The text of all pages, unharmed by what is nested in them or never closed."""
+    text = scrape.extract_text(I.trapped_pages(spark, sf), "page_id")
+    return text.select("page_id", F.md5("full_text").alias("text_md5"), F.length("full_text").alias("n_chars"))
+
+
+@query
+def extract_density(spark, sf):
+    """The densest run of blocks of all pages, half of them without article marks."""
+    text = with_dense_text(I.unmarked_pages(spark, sf))
+    return text.select("page_id", F.md5("full_text").alias("text_md5"), F.length("full_text").alias("n_chars"))
+
+
 @query
 def boilerplate_blocks(spark, sf):
     return scrape.boilerplate_blocks(

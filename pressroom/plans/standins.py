@@ -42,6 +42,28 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages"), "page_id")
 
 
+def trapped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with nested boxes, tables and lists to drop in their articles, or 100 KB of comments never closed."""
+    kind = F.col("page_id") % 5
+    trap = (
+        F.when(kind == 0, '<div class="ad"><div>Buy</div><p>Leaked promo text.</p></div>')
+        .when(kind == 1, "<table><tr><td><table><tr><td>In</td></tr></table>Out</td></tr></table>")
+        .when(kind == 2, "<section id='sponsored'><section>One</section>Two words</section>")
+        .when(kind == 3, "<!-- <p>hidden > text</p> --><ul class='x nav-list'><li><ul><li>Deep</li></ul></li><li>More</li></ul>")
+        .otherwise("")
+    )
+    html = F.replace("html", F.lit("</article>"), F.concat(trap, F.lit("</article>")))
+    tail = F.when(kind == 4, F.repeat(F.lit("<!-- "), 20_000)).otherwise("")
+    return pages(spark, sf_dir).select("page_id", F.concat(html, tail).alias("html"))
+
+
+def unmarked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of which every second one marks its article by a plain box."""
+    plain = F.replace(F.replace("html", F.lit("<article"), F.lit("<div")), F.lit("</article"), F.lit("</div"))
+    html = F.when(F.col("page_id") % 2 == 0, plain).otherwise(F.col("html"))
+    return pages(spark, sf_dir).select("page_id", html.alias("html"))
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as feed items: page and position by id; every 97th date is unreadable; ISO and
     RFC 2822 dates by turns; URLs repeat."""

@@ -1,13 +1,16 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from pressroom.functions.dates import parse_feed_date, percent_text
+from pressroom.functions.html import with_dense_text
+from pressroom.functions.markup import read_page
 from pressroom.operators import ingest, scrape, status
-from pressroom.operators.numbering import numbered
 from pressroom.operators.articles import natural_left_join, with_selected_text
+from pressroom.operators.numbering import numbered
 from pressroom.plans.news import process_news
 from pressroom.schemas import FEED_ITEM, FETCHED_PAGE, METADATA
 from pressroom.sources.feed import feed_items, read_feed_pages
@@ -176,6 +179,47 @@ def test_extraction(spark):
     }
 
 
+def test_nested_and_unclosed_markup(spark):
+    article = "<article><p>Kept text here.</p>%s<p>More kept text.</p></article>"
+    inserted = [
+        '<div class="ad"><div>Buy</div><p>Leaked promo text.</p></div>', "<DIV CLASS='ad'>Buy<ul><li>now</li></ul></DIV>",
+        "<table><tr><td><table><tr><td>In</td></tr></table>Out</td></tr></table>", "<div id=sidebar>Buy</div>",
+        "<script>if (a < b) '</p>' + \"<div>\"</script>", "<!-- <p>a > b</p> -->", "<form><form>x</form> y</form>",
+        '<section class="x share-bar"><section>One</section> two words</section>',
+    ]
+    rows = [(i, article % x) for i, x in enumerate(inserted)]
+    rows += [(20, article % "" + "<!-- " * 20_000), (21, article % "" + "<div " * 20_000), (22, "<script>" * 20_000 + article % "")]
+    entities = [
+        ("&eacute;&uuml;&szlig;&Zcaron; x", "éüßŽ x"), ("&#38;lt;b", "&lt;b"), ("&amp;eacute; &amp;lt;", "&eacute; &lt;"),
+        ("&#x41;&#66; &nosuch; &copy 1", "AB &nosuch; &copy 1"), ("&#0;x&#xD800;", "\ufffdx\ufffd"), ("a &lt;b&gt; c", "a <b> c"),
+    ]
+    rows += [(30 + i, f"<p>{x}</p>") for i, (x, _) in enumerate(entities)] + [(40, None), (41, ""), (42, "a < b and <b>c</b>")]
+    df = spark.createDataFrame(rows, "id int, html string")
+    got = {r["id"]: r["full_text"] for r in scrape.extract_text(df, "id").collect()}
+    whole = "Kept text here.\nMore kept text."
+    assert {i: t for i, t in got.items() if i < 30} == {i: whole for i, *_ in rows if i < 30}
+    assert [got[30 + i] for i in range(len(entities))] == [text for _, text in entities]
+    assert [got[i] for i in (40, 41, 42)] == [None, None, "a < b and c"]
+    started = time.perf_counter()
+    read_page("<!-- " * 20_000)
+    read_page("<div class='" * 20_000)
+    assert time.perf_counter() - started < 1
+
+
+def test_densest_run(spark):
+    link = '<li><a href="/x">Some link text</a></li>'
+    story = "".join(f"<p>{'word ' * n}end.</p>" for n in (30, 4, 40))
+    rows = [
+        (1, f"<body><ul>{link * 9}</ul><div>{story}</div><ul>{link * 9}</ul><p>Terms.</p></body>"),
+        (2, "<p>Short one.</p>"), (3, None), (4, ""), (5, f"<article>{story}</article>"), (6, f"<ul>{link * 3}</ul>"),
+    ]
+    df = with_dense_text(spark.createDataFrame(rows, "id int, html string"))
+    assert df.columns == ["id", "html", "full_text"]
+    got = {r["id"]: r["full_text"] for r in df.collect()}
+    text = "\n".join("word " * n + "end." for n in (30, 4, 40))
+    assert got == {1: text, 2: "Short one.", 3: None, 4: None, 5: text, 6: None}
+
+
 def test_repeated_blocks(spark):
     rows = [(i, f"http://h.example/{i}", f"<p>Own text {i}.</p><p>Subscribe to us.</p><p>Subscribe to us.</p>") for i in range(4)]
     rows.append((9, "http://other.example/", "<p>Subscribe to us.</p>"))
