@@ -73,6 +73,10 @@ EMOJI_CODE_POINTS = """
 1FA70-1FA7C 1FA80-1FAC6 1FAC8 1FACC-1FADD 1FADF-1FAEB 1FAEF-1FAFA
 """.split()
 
+
+#: Signs inside compatibility forms.
+PLAIN_SIGNS = {"°": "d", "′": "'", "″": '"', "‐": "-", "−": "-", "・": ".", "、": ",", "。": "."}
+
 # ---------------------------------------------------------------------------
 # Patterns. They avoid look-around, back-references and word
 # boundaries so that they mean the same in every regex dialect, PHONE excepted.

@@ -8,6 +8,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom import fixed_values as V
+from pressroom.functions.scripts import repaired, spelled
 
 
 def emoji_class() -> str:
@@ -20,31 +21,17 @@ def emoji_class() -> str:
 NON_ASCII = r"[^\x00-\x7F]"
 CONTROL = r"\x1B\[[0-9;]*[A-Za-z]|[\x00-\x08\x0B\x0E-\x1F\x7F-\x84\x86-\x9F]"
 ASCII_RUN = r"[\x00-\x7F]+"
-# Keeps an emoji, with the joiners and variation marks after it, as group 1; anything else left over
-# from transliteration falls outside the group. No group repeats, so that a long run needs no stack.
-EMOJI_OR_OTHER = rf"([{emoji_class()}][\x{{FE0F}}\x{{200D}}]*)|{NON_ASCII}"
+# Keeps an emoji, with the joiners and variation marks after it, and letters and digits of any script
+# as group 1; anything else left over from transliteration falls outside the group. No group repeats,
+# so that a long run needs no stack.
+EMOJI_OR_OTHER = rf"([{emoji_class()}][\x{{FE0F}}\x{{200D}}]*|[^\x00-\x7F\P{{L}}]|[^\x00-\x7F\P{{M}}]|[^\x00-\x7F\P{{N}}])|{NON_ASCII}"
 # The look-ahead turns down ASCII at once; the emoji class is a long list of ranges.
 KEEP_EMOJI = rf"(?={NON_ASCII})(?:{EMOJI_OR_OTHER})"
 
-# Valid UTF-8 alone: no overlong forms, surrogates or code points past the last.
-_UTF8_RUN = (
-    r"[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}"
-    r"|\xED[\x80-\x9F][\x80-\xBF]|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}"
-    r"|\xF4[\x80-\x8F][\x80-\xBF]{2}"
-)
-
-
-@cache
-def _windows_specials() -> tuple[str, str]:
-    """Characters that Windows-1252 shows for bytes 0x80-0x9F, and those bytes as code points."""
-    shown, code = "", ""
-    for byte in range(0x80, 0xA0):
-        try:
-            shown += bytes([byte]).decode("cp1252")
-        except UnicodeDecodeError:
-            continue
-        code += chr(byte)
-    return shown, code
+# What UTF-8 looks like where it was read as Windows-1252 or Latin-1: a lead, then other bytes.
+GARBLED = r"[\xC2-\xF4][\x80-\xBF\x{0152}\x{0153}\x{0160}\x{0161}\x{0178}\x{017D}\x{017E}\x{0192}\x{02C6}\x{02DC}\x{2013}-\x{203A}\x{20AC}\x{2122}]"
+# Letters beyond Latin that may have a Latin spelling, compatibility forms, and marks apart from their letter.
+UNSPELLED = r"[\x{0300}-\x{052F}\x{1100}-\x{11FF}\x{1C80}-\x{1C8F}\x{1D00}-\x{1DBF}\x{1F00}-\x{1FFF}\x{2000}-\x{2BFF}\x{3000}-\x{33FF}\x{AC00}-\x{D7AF}\x{FB00}-\x{FFEF}\x{1D400}-\x{1D7FF}\x{1F100}-\x{1F1FF}]"
 
 
 @cache
@@ -93,20 +80,12 @@ def is_ascii(text: Column) -> Column:
 
 
 def fix_unicode(text: Column) -> Column:
-    """Undo UTF-8 that was read as Windows-1252 or Latin-1; drop control characters.
+    """Undo UTF-8 that was read as Windows-1252 or Latin-1, run by run; drop control characters.
 
-    A text is decoded again only when every non-ASCII character of it belongs to a valid
-    UTF-8 byte run, so a rightly decoded text stays as it is. ``text`` should be a plain
-    column: it is used several times.
+    ``text`` should be a plain column: it is used several times.
     """
-    shown, code = _windows_specials()
-    latin = F.translate(text, shown, code)
-    suspect = text.rlike(rf"[\xC2-\xF4][\x80-\xBF{shown}]")
-    garbled = (
-        suspect & latin.rlike(_UTF8_RUN) & ~F.regexp_replace(latin, _UTF8_RUN, "").rlike(NON_ASCII)
-    )
-    decoded = F.decode(F.encode(latin, "ISO-8859-1"), "UTF-8")
-    return F.regexp_replace(F.when(garbled, decoded).otherwise(text), CONTROL, "")
+    fixed = F.coalesce(repaired(F.when(text.rlike(GARBLED), text)), text)
+    return F.regexp_replace(fixed, CONTROL, "")
 
 
 def latin_to_ascii(text: Column) -> Column:
@@ -120,7 +99,7 @@ def latin_to_ascii(text: Column) -> Column:
 
 
 def drop_non_ascii(text: Column) -> Column:
-    """Only ASCII characters and emoji stay."""
+    """ASCII characters, emoji and letters and digits of other scripts stay."""
     return F.regexp_replace(text, KEEP_EMOJI, "$1")
 
 
@@ -156,11 +135,11 @@ def with_clean_text(
         return frame.withColumn("_text", F.when(needed(now), change(now)).otherwise(now))
 
     raw = F.col(text)
-    df = df.withColumn(
-        "_text",
-        F.when(is_ascii(raw), F.regexp_replace(raw, CONTROL, "")).otherwise(fix_unicode(raw)),
-    )
+    df = df.withColumn("_text", fix_unicode(raw))
     df = step(df, lambda t: ~is_ascii(t), latin_to_ascii)
+    now = F.col("_text")
+    other = F.when(~is_ascii(now), F.when(now.rlike(UNSPELLED), now))
+    df = df.withColumn("_spelled", spelled(other)).withColumn("_text", F.coalesce("_spelled", "_text")).drop("_spelled")
     df = step(df, lambda t: ~is_ascii(t), drop_non_ascii)
     df = step(df, lambda t: t.rlike("://|[wW]{3}"), replace_urls)
     if no_emails:

@@ -407,6 +407,20 @@ def all_oracles() -> dict[str, str]:
 
     sql["text_normalize"] = f"""WITH c AS (SELECT doc_id, {clean('text')} AS text FROM documents)
 SELECT doc_id, md5(text) AS text_md5, length(text)::INT AS n_chars FROM c"""
+    endings = {
+        "text_repair": [" ete deja, etude! \"ok\" naive \"E\"", " Bitkoin e uber 比特"],
+        "text_scripts": [" Chapter IV costs 2/3 of No 5 at 20dC .. end ABC", " Bitkoin rastet, Ellada 比特币 hangug katakana ok fin"],
+    }
+    for name, (even, odd) in endings.items():
+        sql[name] = f"""WITH c AS (
+  SELECT doc_id, {clean('text')} || CASE WHEN doc_id % 2 = 0 THEN {q(even)} ELSE {q(odd)} END AS text FROM documents)
+SELECT doc_id, md5(trim(text)) AS text_md5, right(trim(text), 40) AS ending FROM c"""
+    bare = squeeze(f"translate(regexp_replace({clean('text')}, '[0-9]+(?:[.,][0-9]+)*', '<NUMBER>', 'g'), {q(V.ASCII_PUNCTUATION)}, '')")
+    emails = bare.replace(clean("text"), f"regexp_replace({clean('text')}, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}', '<EMAIL>', 'g')")
+    sql["text_flags"] = f"""WITH c AS (
+  SELECT doc_id, {emails} || CASE WHEN doc_id % 2 = 0 THEN ' See URL or URL now' ELSE ' mail EMAIL or pay NUMBER for NUMBER' END AS text
+  FROM documents)
+SELECT doc_id, md5(trim(text)) AS text_md5, right(trim(text), 40) AS ending FROM c"""
     sql["text_measure"] = f"""SELECT doc_id, {words('text')} AS text_word_count,
   {tokens('text')} AS text_token_count FROM documents"""
     sql["spam_score"] = f"SELECT doc_id, round({spam('text')}, 6) AS spam_score FROM documents"

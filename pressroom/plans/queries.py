@@ -52,6 +52,30 @@ def text_normalize(spark, sf):
     return text.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
 
 
+def _cleaned(docs, **options):
+    text = with_clean_text(docs, "text", "text", **options)
+    end = F.expr("right(text, 40)")
+    return text.select("doc_id", F.md5("text").alias("text_md5"), end.alias("ending"))
+
+
+@query
+def text_repair(spark, sf):
+    """All documents with right and garbled runs side by side, some garbled twice."""
+    return _cleaned(I.appended(spark, sf, I.GARBLED))
+
+
+@query
+def text_scripts(spark, sf):
+    """All documents with compatibility forms and other scripts."""
+    return _cleaned(I.appended(spark, sf, I.SCRIPTS))
+
+
+@query
+def text_flags(spark, sf):
+    """Links in capitals, and the options for addresses, numbers and punctuation."""
+    return _cleaned(I.appended(spark, sf, I.MARKED), no_emails=True, no_numbers=True, no_punct=True)
+
+
 @query
 def text_measure(spark, sf):
     docs = measure(I.documents(spark, sf), "text")

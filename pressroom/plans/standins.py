@@ -38,6 +38,18 @@ def abbreviated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.concat(head, "text").alias("text"))
 
 
+#: Text appended to documents by id: garbled, in other scripts, and with links, addresses and numbers.
+GARBLED = [" Ã©tÃ© déjà, ÃƒÂ©tude! â€œokâ€\x9d naïve «É»", " Ð‘Ð¸Ñ‚ÐºÐ¾Ð¸Ð½ é Ã¼ber æ¯”ç‰¹"]
+SCRIPTS = [" Chapter Ⅳ costs ⅔ of № 5 at 20℃ ‥ end ＡＢＣ", " Биткоин растёт, Ελλάδα 比特币 한국 カタカナ ok ﬁn"]
+MARKED = [" See HTTP://A.example/x?y=1 or WWW.b.example now", " mail a.b@c.example or pay 12,345.67 for 3!"]
+
+
+def appended(spark: SparkSession, sf_dir: str, tails: list[str]) -> DataFrame:
+    """Documents with one of two tails, by id."""
+    tail = F.when(F.col("doc_id") % 2 == 0, tails[0]).otherwise(tails[1])
+    return documents(spark, sf_dir).select("doc_id", F.concat("text", tail).alias("text"))
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages"), "page_id")
 

@@ -31,7 +31,7 @@ def test_cleaning_edges(spark):
         "a b c",
         'Cafe -- naive "quoted" strasse',
         "ete and it's",
-        "nice 😀❤️",
+        "nice 😀❤️ 日本",
         "see <URL> or <URL> now",
         "call <PHONE> <PHONE>, id 12345678901234",
         "abc",
@@ -120,6 +120,24 @@ def test_curation(spark):
     assert out[5] == (True, None, 0.25)
 
 
+def test_no_letter_is_lost(spark):
+    cases = {
+        "Chapter Ⅳ costs ⅔ of № 5 at 20℃ ‥ end ＡＢＣ": "Chapter IV costs 2/3 of No 5 at 20dC .. end ABC",
+        "Биткоин растёт Ελλάδα 比特币 ok": "Bitkoin rastet Ellada 比特币 ok",
+        "한국 ひらがな カタカナ ﬁn Щука й": "hangug hiragana katakana fin Shchuka i",
+        "हिन्दी العربية ①": "हिन्दी العربية 1",
+        "e\u0301te\u0301 №№ \u200b\ue000x": "ete NoNo x",
+        "т" * 100_000: "t" * 100_000,
+    }
+    assert cleaned(spark, *cases) == list(cases.values())
+
+
+def test_runs_are_repaired_one_by_one(spark):
+    assert cleaned(spark, "éÃ©é Ã¼ déjÃ\xa0 vu", "ÃƒÂ©", "Ð‘Ð¸Ñ‚ÐºÐ¾Ð¸Ð½ и æ¯”ç‰¹", "«É» ESPAÑ» Î» VUÉ»”", "Ã" * 50_000) == [
+        "eee u deja vu", "e", "Bitkoin i 比特", '"E" ESPAN" I" VUE""', "A" * 50_000,
+    ]
+
+
 def test_ascii_rows_are_unchanged_by_cleaning_twice(spark):
     rows = ["Ünïcode  text\nhttps://x.example/a 555-123-4567", "plain"]
     once = cleaned(spark, *rows)
