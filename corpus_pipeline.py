@@ -16,19 +16,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressroom.llm import jaccard, language, mixing, packing, toxicity
-from pressroom.llm.common import free_name, prepare, save, table
+from pressroom.llm.common import free_name, prepare, save, table, with_rows
 from pressroom.llm.queries import document_pages, tokenizer_path
 from pressroom.operators.numbering import numbered
 from pressroom.session import release, store, stored
 
 #: No stage sequence has a statement in SQL: it fits models, shingles words and runs a tokenizer.
 ORACLE_SQL = None
-#: So many files at most are numbered in a table that is sent to all tasks (16 bytes a file).
-FILES = 500_000
 _EARLIER: list[tuple[SparkSession, str]] = []
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -48,29 +45,6 @@ def stage(function: Stage) -> Stage:
     return run_stage
 
 
-def with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a unique number of each row in a new column, and its name.
-
-    Rows read from Parquet are numbered by file and place in it, so every later read gives the same
-    numbers. Other rows, or those of more than ``FILES`` files, are numbered in a written copy.
-    """
-    row = free_name(docs, "row_number")
-    file, place = free_name(docs, "row_file"), free_name(docs, "row_place")
-    try:
-        read = docs.metadataColumn("_metadata")
-        placed = docs.select("*", F.xxhash64(read["file_path"]).alias(file), read["row_index"].alias(place))
-        files = placed.select(file).distinct()
-        known = 0 < files.count() <= FILES and placed.filter(F.col(place).isNull()).isEmpty()
-    except AnalysisException:  # not read from files
-        known = False
-    if not known:
-        return save(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
-    number = F.row_number().over(Window.orderBy(file)).cast("long")
-    files = save(files.withColumn(row, number), "files")
-    rows = placed.join(F.broadcast(files), file)
-    return rows.withColumn(row, F.shiftleft(row, 40) + F.col(place)).drop(file, place), row
-
-
 @stage
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; each row is judged, and those without id have no page's evidence."""
@@ -98,7 +72,7 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     rows, row = with_rows(docs)
     content = F.xxhash64("text", "lang", "source")
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", content.alias("hash"), F.col(row).alias("row"))
-    classes = jaccard.jaccard_classes(rows, id_col=row).select(row, "class_id")
+    classes = jaccard.jaccard_classes(rows, id_col=row, unique=True).select(row, "class_id")
     least = classes.join(rows.select(row, order.alias("order")), row).groupBy("class_id").agg(F.min("order").alias("least"))
     kept = save(least.select(F.col("least.row").alias(row)), "kept")
     return rows.join(kept.hint("merge"), row, "left_semi").drop(row)

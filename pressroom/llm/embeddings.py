@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import is_empty, map_batches, salted_join, save
-from pressroom.llm.neardup import bucket_edges, classes, fixed_rows, split_buckets
+from pressroom.llm.common import is_empty, map_batches, save
+from pressroom.llm.neardup import bucket_edges, by_given_ids, classes, fixed_rows, split_buckets
 from pressroom.llm.textkit import mix, seeds
 
 SAMPLE = 20_000
@@ -56,28 +56,32 @@ def table_layout(rows: int, threshold: float, recall: float) -> tuple[int, int,
 
 
 def vector_rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``(id, k1, k2, vec)``: vectors as bytes of doubles with a digest; null where nothing may be linked."""
+    """``(id, given, k1, k2, vec)``: a number for each row and its own id; vectors as bytes of doubles
+    with a digest, null where nothing may be linked."""
     value = F.col(vec_col).cast("array<double>")
     finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     usable = value.isNotNull() & finite & F.exists(value, lambda x: x != 0)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.when(usable, value).alias("vec"))
-    rows = rows.filter("id is not null")
-    schema = pa.schema([("id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("vec", pa.binary())])
+    rows = df.select(
+        F.monotonically_increasing_id().alias("id"), F.col(id_col).cast("long").alias("given"), F.when(usable, value).alias("vec")
+    )
+    schema = pa.schema([
+        ("id", pa.int64()), ("given", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("vec", pa.binary()),
+    ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2, out = [], [], []
-            for values in batch.column(1):
+            for values in batch.column(2):
                 if not values.is_valid:
                     k1.append(None), k2.append(None), out.append(None)
                     continue
                 data = (values.values.to_numpy() + 0.0).tobytes()
                 key = np.frombuffer(hashlib.blake2b(data, digest_size=16).digest(), np.int64)
                 k1.append(int(key[0])), k2.append(int(key[1])), out.append(data)
-            arrays = [batch.column(0), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(out, pa.binary())]
+            arrays = [*batch.columns[:2], pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return map_batches(rows, work, "id long, k1 long, k2 long, vec binary")
+    return map_batches(rows, work, "id long, given long, k1 long, k2 long, vec binary")
 
 
 def table_entries(distinct: DataFrame, rotations: np.ndarray, bits: int, tables: int) -> DataFrame:
@@ -102,14 +106,40 @@ def table_entries(distinct: DataFrame, rotations: np.ndarray, bits: int, tables:
     return map_batches(distinct.select("id", "vec"), work, "key long, id long, code binary")
 
 
-def cosine_linker(dim: int, threshold: float):
+def cosine_linker(threshold: float):
     def linked(payload: list) -> np.ndarray:
-        unit = unit_rows(np.frombuffer(b"".join(payload), np.float64).reshape(-1, dim))
+        unit = unit_rows(np.frombuffer(b"".join(payload), np.float64).reshape(len(payload), -1))
         return unit @ unit.T >= threshold
 
     return linked
 
 
+def candidate_edges(
+    distinct: DataFrame, dim: int, rows: int, threshold: float, recall: float, sample: int, bucket: int
+) -> DataFrame:
+    """Edges ``(a, b)`` between vectors of ``dim`` numbers that share a bucket and have near codes."""
+    chosen = distinct.orderBy(F.xxhash64("k1", "k2")).select("vec").limit(sample).toArrow()
+    unit = unit_rows(fixed_rows(chosen["vec"], dim, np.float64))
+    bits, tables, differ = table_layout(rows, threshold, recall)
+    total = bits * tables
+    learned = [learn_rotation(unit, seed) for seed in range(math.ceil(total / dim))]
+    rotations = np.concatenate(learned, axis=1)[:, :total]
+    most = total * differ + 4 * math.sqrt(total * differ * (1 - differ))
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(a ^ b).sum(axis=-1) <= most
+
+    width = (total + 7) // 8
+    entries = table_entries(distinct, rotations, bits, tables)
+    big = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket)
+    big = save(big, "buckets")
+    if is_empty(big):
+        return bucket_edges(entries, width, near)
+    small = entries.join(big.select("key"), "key", "left_anti")
+    crowded = entries.join(big.select("key"), "key", "left_semi")
+    return bucket_edges(small.union(split_buckets(crowded, big, bucket)), width, near)
+
+
 def vector_classes(
     df: DataFrame,
     id_col: str = "vec_id",
@@ -120,54 +150,30 @@ def vector_classes(
     bucket: int = BUCKET,
     block: int = BLOCK,
 ) -> DataFrame:
-    """``(id, class_id, n_links, copies)`` per row with an id, ids under ``id_col``'s name.
-
-    Two vectors are linked if their cosine is at least ``threshold`` (above 0); ``n_links`` counts
-    the other vectors linked directly, ``class_id`` is the least id that links reach. Vectors that
-    are null, empty, zero or hold null or non-finite numbers link with nothing, nor do those whose
-    length is not the most frequent one (the greatest of ties). The rotations are learned from at
-    most ``sample`` distinct vectors; all are indexed. Equal vectors count as ``copies``; rows
-    without id are left out; an id on several rows counts once per row. No rows give no rows.
-    Other columns are not looked at.
+    """``(id, class_id, n_links, copies, kept)`` per row, ids under ``id_col``'s name.
+
+    Two vectors of one length are linked if their cosine is at least ``threshold`` (above 0);
+    ``n_links`` counts the other vectors linked directly, ``class_id`` is the least id that links
+    reach. Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing.
+    Each length with different vectors has rotations of its own, learned from at most ``sample`` of
+    them; all are indexed. Equal vectors count as ``copies``. Every row is a vector, whether it has
+    an id or shares one with others; a class of rows without id has a null ``class_id``; ``kept``
+    marks the rows with the class's id, or its first row. No rows give no rows. Other columns are
+    not looked at.
     """
     rows = save(vector_rows(df, id_col, vec_col), "vectors")
-    lengths = rows.filter("vec is not null").groupBy(F.length("vec").alias("bytes")).count()
-    common = lengths.orderBy(F.desc("count"), F.desc("bytes")).take(1)
-    if not common:
-        return rows.select(
-            F.col("id").alias(id_col), F.col("id").alias("class_id"),
-            F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"),
-        )
-    dim = common[0]["bytes"] // 8
-    usable = rows.filter(F.length("vec") == dim * 8)
     distinct = save(
-        usable.groupBy("k1", "k2").agg(
+        rows.filter("vec is not null").groupBy("k1", "k2").agg(
             F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")
         ),
         "distinct",
     )
-    chosen = distinct.orderBy(F.xxhash64("k1", "k2")).select("vec").limit(sample).toArrow()
-    unit = unit_rows(fixed_rows(chosen["vec"], dim, np.float64))
-    bits, tables, differ = table_layout(distinct.count(), threshold, recall)
-    total = bits * tables
-    learned = [learn_rotation(unit, seed) for seed in range(math.ceil(total / dim))]
-    rotations = np.concatenate(learned, axis=1)[:, :total]
-    most = total * differ + 4 * math.sqrt(total * differ * (1 - differ))
-
-    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(a ^ b).sum(axis=-1) <= most
-
-    width = (total + 7) // 8
-    entries = table_entries(distinct, rotations, bits, tables)
-    big = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket)
-    big = save(big, "buckets")
-    if is_empty(big):
-        candidates = bucket_edges(entries, width, near)
-    else:
-        small = entries.join(big.select("key"), "key", "left_anti")
-        crowded = entries.join(big.select("key"), "key", "left_semi")
-        candidates = bucket_edges(small.union(split_buckets(crowded, big, bucket)), width, near)
+    lengths = distinct.groupBy(F.length("vec").alias("bytes")).count().filter("count > 1").orderBy("bytes").collect()
+    candidates = df.sparkSession.createDataFrame([], "a long, b long")
+    for length in lengths:
+        alike = distinct.filter(F.length("vec") == length["bytes"])
+        found = candidate_edges(alike, length["bytes"] // 8, length["count"], threshold, recall, sample, bucket)
+        candidates = candidates.union(found)
     payload = distinct.select("id", F.col("vec").alias("payload"))
-    keys = rows.select("id", F.when(F.length("vec") == dim * 8, F.col("k1")).alias("k1"), "k2")
-    out = classes(keys, distinct, candidates, payload, cosine_linker(dim, threshold), block)
-    return out.withColumnRenamed("id", id_col)
+    out = classes(rows.drop("vec"), distinct, candidates, payload, cosine_linker(threshold), block)
+    return by_given_ids(out, id_col)

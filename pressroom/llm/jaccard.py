@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import is_empty, map_batches, salted_join, save
-from pressroom.llm.neardup import bucket_edges, classes, fixed_rows, split_buckets
+from pressroom.llm.common import is_empty, map_batches, salted_join, save, with_rows
+from pressroom.llm.neardup import bucket_edges, by_given_ids, classes, fixed_rows, split_buckets
 from pressroom.llm.textkit import mix, seeds, shingles
 
 POSITIONS = 64
@@ -52,27 +52,29 @@ def run_count(recall: float, threshold: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - once)))
 
 
-def describe_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(id, k1, k2, n, mh)`` per row: digest, number and MinHash row of its shingles (n = 0: no words)."""
+def describe_sets(rows: DataFrame, size: int) -> DataFrame:
+    """``(id, given, k1, k2, n, mh)`` per row ``(id, given, text)``: digest, number and MinHash row of its shingles.
+
+    ``n`` is 0 where there are no words.
+    """
     schema = pa.schema([
-        ("id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("mh", pa.binary()),
+        ("id", pa.int64()), ("given", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("mh", pa.binary()),
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, counts, rows = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 values = shingles(text, size)
                 digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                 keys.append(np.frombuffer(digest, np.int64))
                 counts.append(len(values))
                 rows.append(minhash(values).tobytes())
             keys = np.array(keys).reshape(-1, 2)
-            columns = [batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(counts, pa.int64())]
+            columns = [*batch.columns[:2], pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.binary())], schema=schema)
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_batches(narrow.filter("id is not null"), work, "id long, k1 long, k2 long, n long, mh binary")
+    return map_batches(rows.select("id", "given", "text"), work, "id long, given long, k1 long, k2 long, n long, mh binary")
 
 
 def deal(rows: DataFrame, rounds: int, threshold: float) -> DataFrame:
@@ -167,22 +169,30 @@ def jaccard_classes(
     bucket: int = BUCKET,
     depth: int = DEPTH,
     block: int = BLOCK,
+    unique: bool = False,
 ) -> DataFrame:
-    """``(id, class_id, n_links, copies, n_shingles)`` per row with an id, ids under ``id_col``'s name.
+    """``(id, class_id, n_links, copies, n_shingles, kept)`` per row, ids under ``id_col``'s name.
 
     Two documents are linked if the Jaccard similarity of their shingles is at least ``threshold``;
     ``n_links`` counts the other documents linked directly, copies included, and ``class_id`` is
     the least id that links reach. Documents with equal shingles are one set with ``copies``
     members. Null, empty and wordless texts link with nothing; texts under ``size`` words are one
-    shingle of all their words. Rows without id are left out. An id on several rows counts once
-    per row; its texts then share a class. No rows give no rows. Other columns are not looked at.
+    shingle of all their words. Every row is a document, whether it has an id or shares one with
+    others: rows are told apart by their place in the files, or without files in a saved copy, or by
+    their id where it is said to be ``unique``. A class of rows without id has a null ``class_id``;
+    ``kept`` marks the rows with the class's id, or its first row. No rows give no rows. Other
+    columns are not looked at.
     """
-    sets = save(describe_sets(docs, id_col, text_col, size), "sets")
+    rows, row = (docs, id_col) if unique else with_rows(docs.select(id_col, text_col))
+    rows = rows.select(
+        F.col(row).cast("long").alias("id"), F.col(id_col).cast("long").alias("given"), F.col(text_col).alias("text")
+    )
+    sets = save(describe_sets(rows, size), "sets")
     distinct = sets.filter("n > 0").groupBy("k1", "k2").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("mh").alias("mh")
     )
     distinct = save(distinct, "distinct")
     candidates = candidate_edges(distinct, threshold, recall, bucket, depth)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("payload"))
+    texts = rows.select("id", F.col("text").alias("payload"))
     out = classes(sets.drop("mh"), distinct, candidates, texts, shingle_linker(threshold, size), block)
-    return out.withColumnsRenamed({"id": id_col, "n": "n_shingles"})
+    return by_given_ids(out.withColumnRenamed("n", "n_shingles"), id_col)

@@ -205,3 +205,18 @@ def classes(
         "n_links": F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)),
         "copies": F.coalesce("copies", F.lit(1)),
     }).drop("k1", "k2", "links")
+
+
+def by_given_ids(out: DataFrame, id_col: str) -> DataFrame:
+    """Classes of rows named by their least id: ``out`` has each row's number ``id`` and its ``given`` id.
+
+    Rows without id belong to classes like others; a class of such rows alone has a null name.
+    ``kept`` marks the rows with the class's name, or the first row of a class without one.
+    """
+    least = out.groupBy("class_id").agg(F.min("given").alias("least"))
+    named = salted_join(out, least, ["class_id"], by="id")
+    kept = F.when(F.col("given").isNotNull(), F.col("given") == F.col("least")).otherwise(
+        F.col("least").isNull() & (F.col("id") == F.col("class_id"))
+    )
+    named = named.withColumn("kept", kept).drop("id", "class_id")
+    return named.withColumnsRenamed({"given": id_col, "least": "class_id"})

@@ -97,16 +97,13 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op7_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Links and components of all vectors."""
     rows = embeddings.vector_classes(table(prepare(spark), sf, "embeddings"))
-    return rows.select(
-        "vec_id", "n_links", F.col("class_id").alias("component_id"),
-        (F.col("vec_id") == F.col("class_id")).alias("kept"),
-    )
+    return rows.select("vec_id", "n_links", F.col("class_id").alias("component_id"), "kept")
 
 
 def op8_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate classes of all documents by word 5-gram Jaccard similarity of 0.8 or more."""
     rows = jaccard.jaccard_classes(table(prepare(spark), sf, "documents"))
-    return rows.select("doc_id", "class_id", "n_links", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return rows.select("doc_id", "class_id", "n_links", "kept")
 
 
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:

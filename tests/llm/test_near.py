@@ -70,7 +70,18 @@ def test_jaccard_edges(documents):
     assert jaccard.jaccard_classes(documents([])).collect() == []
     text = "alpha beta gamma delta epsilon zeta"
     rows = jaccard.jaccard_classes(documents([(None, text, None), (7, text, None), (7, text, None), (9, text, None)]))
-    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in rows.collect()) == [(7, 7, 2), (7, 7, 2), (9, 7, 2)]
+    found = [(r["doc_id"] or 0, r["class_id"], r["n_links"], r["kept"]) for r in rows.collect()]
+    assert sorted(found) == [(0, 7, 3, False), (7, 7, 3, True), (7, 7, 3, True), (9, 7, 3, False)]
+
+
+def test_jaccard_tells_rows_of_one_id_apart(session, documents, tmp_path):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(7, a, None), (7, b, None), (8, a, None), (9, b, None), (None, c, None), (None, c, None), (None, "other words", None)]
+    documents(rows).repartition(3).write.parquet(str(tmp_path / "docs"))
+    for docs in (documents(rows), session.read.parquet(str(tmp_path / "docs"))):
+        found = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_links"], r["kept"]) for r in jaccard.jaccard_classes(docs).collect())
+        assert found[:3] == [(0, 0, 0, True), (0, 0, 1, False), (0, 0, 1, True)]
+        assert found[3:] == [(7, 7, 1, True), (7, 7, 1, True), (8, 7, 1, False), (9, 7, 1, False)]
 
 
 def test_words_and_shingles():
@@ -102,15 +113,17 @@ def vectors(dim=24):
             rows.append((centre + rng.standard_normal(dim) * rng.choice([0.05, 0.3])).tolist())
     rows += [rows[0], rows[0], [x * 1e200 for x in rows[1]], [x * 1e-200 for x in rows[1]]]
     rows += [None, [0.0] * dim, [float("nan")] * dim, [None] + [1.0] * (dim - 1), [1.0] * 3, [], [float("inf")] * dim]
+    rows += [[1.0, 1.0, 1.01], [2.0] * 3, [-1.0, 1.0, 1.0], [5.0]]
     return [(i * 2, v, 1, "x") for i, v in enumerate(rows)]
 
 
-def brute_vectors(rows, threshold=0.9, dim=24):
-    usable = {i: np.array(v, float) for i, v, *_ in rows if v and len(v) == dim and None not in v}
+def brute_vectors(rows, threshold=0.9):
+    usable = {i: np.array(v, float) for i, v, *_ in rows if v and None not in v}
     usable = {i: v for i, v in usable.items() if np.isfinite(v).all() and v.any()}
     unit = {i: v / abs(v).max() for i, v in usable.items()}
     unit = {i: v / np.linalg.norm(v) for i, v in unit.items()}
-    return {(a, b) for a, b in itertools.combinations(unit, 2) if unit[a] @ unit[b] >= threshold}
+    pairs = itertools.combinations(unit, 2)
+    return {(a, b) for a, b in pairs if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= threshold}
 
 
 def test_vector_classes_reach_recall_and_add_nothing(session):
@@ -131,8 +144,14 @@ def test_vector_classes_reach_recall_and_add_nothing(session):
 def test_vector_edges(session):
     spec = "vec_id long, embedding array<float>"
     assert embeddings.vector_classes(session.createDataFrame([], spec)).collect() == []
-    alone = embeddings.vector_classes(session.createDataFrame([(1, None), (2, [0.0, 0.0]), (None, [1.0, 0.0])], spec))
-    assert sorted((r["vec_id"], r["class_id"], r["n_links"]) for r in alone.collect()) == [(1, 1, 0), (2, 2, 0)]
+    eight, two = [float(i) for i in range(1, 9)], [-1.0, 1.0]
+    rows = [(1, None), (2, [0.0, 0.0]), (None, two), (None, two), (3, [1.0, 2.0, 3.0]), (4, [1.0, 2.0, 3.01]), (5, [2.0, 4.0, 6.0])]
+    rows += [(6, eight), (6, [-x for x in eight]), (7, [-x for x in eight]), (9, eight)]
+    found = embeddings.vector_classes(session.createDataFrame(rows, spec)).collect()
+    assert sorted((r["vec_id"] or 0, r["class_id"] or 0, r["n_links"], r["kept"]) for r in found) == [
+        (0, 0, 1, False), (0, 0, 1, True), (1, 1, 0, True), (2, 2, 0, True), (3, 3, 2, True), (4, 3, 2, False),
+        (5, 3, 2, False), (6, 6, 1, True), (6, 6, 1, True), (7, 6, 1, False), (9, 6, 1, False),
+    ]
 
 
 def test_rotation_balances_codes():
