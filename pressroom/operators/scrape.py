@@ -13,7 +13,7 @@ from pressroom.functions.html import host, with_blocks, with_fallback, with_text
 from pressroom.operators.ingest import keep_first
 from pressroom.operators.numbering import numbered
 from pressroom.schemas import DATE_PARTS
-from pressroom.session import work_dir
+from pressroom.session import scratch_dir
 
 
 def distinct_urls(metadata: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def extract_text(
     if min_pages is None:
         return with_text(pages).select(key, "full_text")
     spark = pages.sparkSession
-    path = work_dir(spark, "cut-pages")
+    path = scratch_dir(spark, "cut-pages")
     hashes = F.transform("blocks", F.md5)
     (
         with_blocks(pages.withColumn("host", host(F.col(url))))

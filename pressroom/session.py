@@ -48,17 +48,23 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A folder path as ``work_dir`` gives it, deleted by ``release``."""
+    path = work_dir(spark, purpose)
+    _STORED.append((spark, path))
+    return path
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = work_dir(spark, purpose)
-    _STORED.append((spark, path))
+    path = scratch_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def stored() -> list[tuple[SparkSession, str]]:
-    """The tables that ``store`` has written and that are not released."""
+    """The tables and folders that are not released yet."""
     return list(_STORED)
 
 
