@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressroom.llm import embeddings, jaccard, language, links, mixing, packing, quality, repair, sharding, sketch, toxicity, trie, warc
 from pressroom.llm.common import prepare, save, table
-from pressroom.session import work_dir
+from pressroom.session import scratch_dir
 
 #: The rules of the URL query, in order of statement.
 RULES = [
@@ -30,7 +30,7 @@ def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written as archives and read back, segments and framing undone, revisits resolved."""
     spark = prepare(spark)
     records = warc.with_revisits(table(spark, sf, "pages"), "page_id", "url", "html")
-    path = work_dir(spark, "llm-archives")
+    path = scratch_dir(spark, "llm-archives")
     warc.write_archives(records, path)
     rows = warc.decoded(warc.reassemble(warc.read_archives(spark, path)))
     digest = F.arrow_udf(_digests, "string")

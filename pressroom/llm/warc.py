@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,6 +16,8 @@ SEGMENT = 16_384
 CHUNK = 4_096
 #: Records to a file: with segments of bounded size a file stays small enough for one task.
 PER_FILE = 4_000
+#: Bytes of a file unpacked at a time.
+PART = 1 << 20
 END = "\r\n\r\n"
 _RECORDS = (
     "record_id string, type string, uri string, key string, refers_to string, digest string, "
@@ -144,43 +146,107 @@ def write_archives(records: DataFrame, path: str, segment: int = SEGMENT, chunk:
     lines.write.options(**options).text(path)
 
 
-def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (lower-case names) and block of each record; a damaged tail ends the archive."""
-    at = 0
+def unpacked(content: bytes) -> Iterator[bytes]:
+    """The bytes of a plain or gzipped file, a part at a time; what cannot be unpacked ends them."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    while content:
+        unpack, rest = zlib.decompressobj(31), content
+        try:
+            while rest and not unpack.eof:
+                part = unpack.decompress(rest, PART)
+                rest = unpack.unconsumed_tail
+                yield part
+            if not unpack.eof:
+                yield unpack.flush()
+        except zlib.error:
+            return
+        content = unpack.unused_data
+
+
+def parse_archive(content: bytes | Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (lower-case names) and block of each record, of a file that may come in parts.
+
+    A damaged tail ends the archive: what begins with no version or states no length, and a record
+    whose header or block is cut.
+    """
+    parts = iter([content]) if isinstance(content, bytes) else content
+    data, at = bytearray(), 0
+
+    def more() -> bool:
+        nonlocal at
+        part = next(parts, None)
+        if part is None:
+            return False
+        del data[:at]
+        data.extend(part)
+        at = 0
+        return True
+
     while True:
-        while data[at : at + 2] == b"\r\n":
-            at += 2
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or data[at : at + 5] != b"WARC/":
+        while len(data) - at < 5 or data[at : at + 2] == b"\r\n":
+            if data[at : at + 2] == b"\r\n":
+                at += 2
+            elif not more():
+                return
+        if data[at : at + 5] != b"WARC/":
             return
+        seen = 0
+        while (end := data.find(b"\r\n\r\n", at + max(0, seen - 3))) < 0:
+            seen = len(data) - at
+            if not more():
+                return
         fields = {}
         for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             fields[name.strip().lower()] = value.strip()
-        length = int(fields.get("content-length", "0"))
-        yield fields, data[end + 4 : end + 4 + length]
-        at = end + 4 + length
+        length = number_of(fields.get("content-length", "0"))
+        if length is None:
+            return
+        size = end + 4 - at + length
+        while len(data) - at < size:
+            if not more():
+                return
+        yield fields, bytes(data[at + size - length : at + size])
+        at += size
+
+
+def number_of(value: str | None) -> int | None:
+    """A number of at most 18 digits; anything else counts as absent."""
+    return int(value) if value and len(value) <= 18 and value.isascii() and value.isdigit() else None
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives (plain or gzipped) in a folder; each file is read by one task, by bytes."""
+    """One row per record of the archives (plain or gzipped) in a folder; each file is read by one task, by bytes.
+
+    Files are unpacked part by part. A damaged tail ends its archive, as ``parse_archive`` says;
+    segment numbers and lengths that are not numbers count as absent. No files fail the read.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.string()] * 6 + [pa.int32(), pa.string(), pa.int64(), pa.binary()]
         names = "record_id type uri key refers_to digest segment origin total block".split()
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) if rows else [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
         for batch in batches:
             for content in batch.column(0).to_pylist():
-                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-                rows = []
-                for f, block in parse_archive(data):
-                    number, total = f.get("warc-segment-number"), f.get("warc-segment-total-length")
+                rows, weight = [], 0
+                for f, block in parse_archive(unpacked(content)):
+                    segment = number_of(f.get("warc-segment-number"))
                     rows.append((
                         f.get("warc-record-id"), f.get("warc-type"), f.get("warc-target-uri"), f.get("x-record-key"),
-                        f.get("warc-refers-to"), f.get("warc-payload-digest"), number and int(number),
-                        f.get("warc-segment-origin-id"), total and int(total), block,
+                        f.get("warc-refers-to"), f.get("warc-payload-digest"), segment if (segment or 0) < 2**31 else None,
+                        f.get("warc-segment-origin-id"), number_of(f.get("warc-segment-total-length")), block,
                     ))
-                columns = list(zip(*rows)) if rows else [[]] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+                    weight += len(block)
+                    if weight > 8 * PART:
+                        yield batch_of(rows)
+                        rows, weight = [], 0
+                yield batch_of(rows)
 
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(work, _RECORDS)

@@ -1,5 +1,6 @@
 """Classifiers, mixing, packing, archives, URL rules and languages on small tables."""
 
+import gzip
 import hashlib
 import random
 import zlib
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressroom.llm import language, links, mixing, packing, quality, toxicity, warc
-from pressroom.llm.queries import RULES, tokenizer_path
+from pressroom.llm.queries import RULES, llm_queries, tokenizer_path
 
 BASE = "the of and to in is was for on that with as by at from this are be or an".split()
 
@@ -73,6 +74,44 @@ def test_broken_segments_and_framing(session):
     assert list(warc.parse_archive(b"junk")) == []
 
 
+def test_damaged_archives_end_where_they_are_damaged(session, tmp_path):
+    def record(key, block, length=None, more=""):
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: {key}\r\n{more}Content-Length: {len(block) if length is None else length}\r\n\r\n"
+        return head.encode() + block + b"\r\n\r\n"
+
+    good = record("a", b"x" * 3_000_000) + record("b", b"")
+    files = {
+        "length": good + record("c", b"12", "x") + record("d", b"1"), "short": good + record("c", b"12", 50),
+        "negative": good + record("c", b"12", -2), "none": b"", "junk": b"junk", "head": good + b"WARC/1.1\r\nWARC-Type: x",
+        "tail": good + b"\x00\x01", "number": good + record("c", b"12", None, "WARC-Segment-Number: x\r\n"),
+    }
+    (tmp_path / "in").mkdir()
+    for name, data in files.items():
+        (tmp_path / "in" / f"{name}.warc").write_bytes(data)
+        (tmp_path / "in" / f"{name}.warc.gz").write_bytes(gzip.compress(data[: len(good)]) + gzip.compress(data[len(good) :]))
+    whole = gzip.compress(random.Random(1).randbytes(100_000))
+    (tmp_path / "in" / "cut.warc.gz").write_bytes(gzip.compress(good) + whole[:50_000])
+    (tmp_path / "in" / "bad.warc.gz").write_bytes(gzip.compress(good)[:-9] + b"123456789" + whole)
+    found = Counter(r["record_id"] for r in warc.read_archives(session, str(tmp_path / "in")).select("record_id").collect())
+    assert found["c"] == 2 and found["d"] == 0 and (found["a"], found["b"]) == (13, 13)
+
+
+def test_query_of_archives_by_value(session, tmp_path):
+    rng = random.Random(3)
+    htmls = [None, "", "é" * 20_000, "a\r\n\r\nWARC/1.1", "z" * 70_000] + [prose(rng, 30) for _ in range(6)]
+    rows = [(i * 3, None if i % 5 == 0 else f"https://h/{i}", rng.choice(htmls), "x") for i in range(60)]
+    session.createDataFrame(rows, "page_id long, url string, html string, type string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: tuple(r)[1:5] for r in llm_queries()["op1_warc"](session, str(tmp_path)).collect()}
+    last = {}
+    for i, _, html, _ in rows:
+        last[html or ""] = i
+    assert got == {
+        i: (len((html or "").encode()), warc.bare_digest((html or "").encode()),
+            "response" if last[html or ""] == i else "revisit", None if last[html or ""] == i else last[html or ""])
+        for i, _, html, _ in rows
+    }
+
+
 # -- classifiers -----------------------------------------------------------------------------
 
 
