@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, Row, functions as F
 
 from pressroom.functions.dates import percent_text, range_text
@@ -14,7 +16,7 @@ from pressroom.operators.scrape import (
     join_outcomes,
 )
 from pressroom.operators.status import advance, pending_clean, pending_scrape, rows_of
-from pressroom.sources.feed import feed_items
+from pressroom.sources.feed import feed_items, landed_files, read_feed_pages
 from pressroom.sources.tables import Warehouse
 
 STAGE_RESULT = (
@@ -42,6 +44,29 @@ def import_news(
     return {"n_rows": counts["rows_inserted"], "date_range": date_range}
 
 
+def import_landings(warehouse: Warehouse, path: str, now: str, start_date: str | None = None) -> dict:
+    """Landings below ``path`` that no earlier run has imported, to metadata and status rows.
+
+    Files are listed and set against the table of landings before any is read, and folders
+    ``landed=YYYY-MM-DD`` before the day that the stored articles ask for are left out. Landings are
+    noted last, so a run that died in between is made good by the next. What reaches the driver is
+    the list of new files, as for any read.
+    """
+    spark = warehouse.spark
+    stored = warehouse.read_table("raw_data", columns=["date_utc"])
+    first_day = fetch_bounds(stored, now, start_date).select(F.date_format("start_date", "yyyy-MM-dd")).first()[0]
+    known = warehouse.read_table("feed_landings", columns=["landing"])
+    files = landed_files(spark, path, first_day).join(known, "landing", "left_anti")
+    found = files.collect()
+    if not found:
+        return {"n_rows": 0, "n_landings": 0}
+    outcome = import_news(warehouse, read_feed_pages(spark, path, files=[row["file"] for row in found]), now, start_date)
+    sizes = Counter(row["landing"] for row in found)
+    landings = spark.createDataFrame(list(sizes.items()), "landing string, n_files bigint")
+    warehouse.write_table("feed_landings", landings.withColumn("imported_at", F.lit(now).cast("timestamp")), unique=True)
+    return {**outcome, "n_landings": len(sizes)}
+
+
 def scrape_articles(warehouse: Warehouse, fetched: DataFrame) -> dict:
     """Outcomes of landed fetches for the pending articles.
 

@@ -453,6 +453,16 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_i
     sql["feed_pages_until_empty"] = f"""WITH {FEED}
 SELECT page, pos, ordinal, news_id, news_url FROM feed WHERE page < (SELECT max(page) * 9 // 10 FROM feed)"""
     dates = "year(date_utc)::INT AS year_utc, month(date_utc)::INT AS month_utc, day(date_utc)::INT AS day_utc"
+    sql["feed_landings"] = """WITH items AS (
+  SELECT event_id, event_id % 3 AS run, event_id // 300 + 1 AS page, event_id % 100 AS pos,
+    concat_ws('/', user_id, event_type, event_id % 10) AS url FROM events),
+stops AS (SELECT run, CASE WHEN run = 1 THEN max(page) // 2 ELSE max(page) + 1 END AS stop FROM items GROUP BY run),
+firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY run, url ORDER BY page, pos) AS copy
+  FROM items JOIN stops USING (run) WHERE page < stop),
+sizes AS (SELECT run, count(*) FILTER (copy = 1 AND event_id % 97 <> 0) AS n_rows FROM firsts GROUP BY run)
+SELECT run::INT AS run, again, CASE WHEN again THEN 0 ELSE n_rows END::BIGINT AS n_rows, (NOT again)::BIGINT AS n_landings
+FROM sizes, (VALUES (true), (false)) v(again)"""
     sql["feed_dates"] = f"WITH {FEED} SELECT news_id, date_utc, {dates} FROM feed WHERE date_utc IS NOT NULL"
     sql["feed_date_nulls"] = f"WITH {FEED} SELECT count(*) AS date_nulls FROM feed WHERE date_utc IS NULL"
     sql["metadata_rows"] = f"""WITH {FEED}, firsts AS (

@@ -18,10 +18,10 @@ from pressroom.operators import analysis, articles, boundaries, ingest, prices,
 from pressroom.operators import status as work
 from pressroom.plans import analysis as analysis_plan
 from pressroom.plans import standins as I
-from pressroom.plans.news import process_news
+from pressroom.plans.news import import_landings, process_news
 from pressroom.plans.prices import store_prices
 from pressroom.schemas import FEED_ITEM, TableSpec
-from pressroom.session import configure, work_dir
+from pressroom.session import configure, scratch_dir, work_dir
 from pressroom.sources import tables
 from pressroom.sources.feed import feed_items, read_feed_pages, request_parameters
 from pressroom.sources.prices import read_prices, ticker_series
@@ -174,6 +174,32 @@ def feed_pages_until_empty(spark, sf):
     return feed_items(pages).select("page", "pos", "ordinal", "news_id", "news_url")
 
 
+def _landed_feed(spark, sf, of=3):
+    """The feed as JSON landings, of which the second ends early; the path, and the pages of each."""
+    path = scratch_dir(spark, "landings")
+    items = I.feed(spark, sf)
+    for k in range(of):
+        mine = items.filter(F.col("news_id").cast("long") % of == k).withColumn("page", F.floor((F.col("page") - 1) / of) + 1)
+        pages = I.as_feed_pages(mine.withColumn("page", F.col("page").cast("int")))
+        if k == 1:
+            gap = F.floor(F.col("total_pages") / 2)
+            pages = pages.withColumn("data", F.when(F.col("page") == gap, F.expr("slice(data, 1, 0)")).otherwise(F.col("data")))
+        yield path, pages.withColumn("page", F.col("page").cast("int"))
+
+
+@query
+def feed_landings(spark, sf):
+    """Three landings imported one after the other, each by a run that sees all that have landed."""
+    warehouse = tables.Warehouse(spark, work_dir(spark, "warehouse"))
+    runs = []
+    for k, (path, pages) in enumerate(_landed_feed(spark, sf)):
+        pages.write.json(f"{path}/landed=2030-01-0{k + 1}")
+        for again in (False, True):
+            outcome = import_landings(warehouse, path, "2030-01-09 00:00:00")
+            runs.append((k, again, outcome["n_rows"], outcome["n_landings"]))
+    return spark.createDataFrame(runs, "run int, again boolean, n_rows bigint, n_landings bigint")
+
+
 @query
 def feed_dates(spark, sf):
     dated = ingest.drop_undated(ingest.with_dates(I.feed(spark, sf)))

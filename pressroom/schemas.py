@@ -71,6 +71,7 @@ STATUS = _schema(
     "news_id STRING, raw_data BOOLEAN, scraped_data BOOLEAN, cleaned_data BOOLEAN, "
     "llm_data BOOLEAN"
 )
+LANDING = _schema("landing STRING, n_files BIGINT, imported_at TIMESTAMP")
 PRICE_BAR = _schema(
     "ticker STRING, date DATE, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"
 )
@@ -104,6 +105,7 @@ TABLES = {
         TableSpec("raw_data", METADATA, "raw_data", partitions=DATE_PARTS),
         TableSpec("scraped_data", SCRAPED, "scraped_data", partitions=DATE_PARTS),
         TableSpec("cleaned_data", CLEANED, "cleaned_data", partitions=DATE_PARTS),
+        TableSpec("feed_landings", LANDING, "feed_landings", key="landing"),
         TableSpec("llm_data", ANALYSED, "analysis", partitions=DATE_PARTS),
     ]
 }

@@ -2,30 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pressroom import fixed_values as V
 from pressroom.functions.dates import request_range
 from pressroom.schemas import FEED_PAGE
 
 
+def landing_of(file_path: Column) -> Column:
+    """The landing a file belongs to.
+
+    A folder named ``key=value``, or one of files that Spark wrote (``part-…``), is one landing. Any
+    other file is a landing of its own, as fetches that share one folder are.
+    """
+    folder = F.regexp_extract(file_path, "(?s)^(.*)/", 1)
+    written = file_path.rlike(r"/(?:[^/=]+=[^/]*/[^/]+|part-[^/]+)$")
+    return F.when(written, folder).otherwise(file_path)
+
+
 def read_feed_pages(
-    spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None
+    spark: SparkSession,
+    path: str,
+    first_day: str | None = None,
+    last_day: str | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
-    """Landed JSON pages, one object per line; days bound a ``landed=YYYY-MM-DD`` folder level.
+    """Landed JSON pages, one object per line, below ``path`` at any depth, or of ``files`` alone.
 
-    ``landing`` is the folder of a page's file: the files of a folder are one landing.
+    Days bound a ``landed=YYYY-MM-DD`` folder level, and only such folders are read then.
+    ``landing`` is what ``landing_of`` says of a page's file.
     """
-    pages = spark.read.schema(FEED_PAGE).json(path)
-    if first_day or last_day:
+    if files is not None:
+        pages = spark.read.schema(FEED_PAGE).json(files) if files else spark.createDataFrame([], FEED_PAGE)
+        if not files:
+            return pages.withColumn("landing", F.lit(None).cast("string"))
+    elif first_day or last_day:
         dated = T.StructType([*FEED_PAGE.fields, T.StructField("landed", T.DateType())])
         pages = spark.read.schema(dated).json(path)
         if first_day:
             pages = pages.where(F.col("landed") >= F.lit(first_day).cast("date"))
         if last_day:
             pages = pages.where(F.col("landed") <= F.lit(last_day).cast("date"))
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "(?s)^(.*)/", 1)
-    return pages.withColumn("landing", folder)
+    else:
+        pages = spark.read.schema(FEED_PAGE).option("recursiveFileLookup", "true").json(path)
+    return pages.withColumn("landing", landing_of(F.col("_metadata.file_path")))
+
+
+def landed_files(spark: SparkSession, path: str, first_day: str | None = None) -> DataFrame:
+    """``(landing, file)`` of the JSON files below ``path``, found without reading any.
+
+    ``first_day`` leaves out folders ``landed=YYYY-MM-DD`` before it.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
+    # Statistics of the listing alone: the content column is not asked for.
+    rows = files.load(path).select(landing_of(F.col("path")).alias("landing"), F.col("path").alias("file"))
+    if first_day:
+        day = F.try_to_timestamp(F.nullif(F.regexp_extract("file", r"/landed=(\d{4}-\d\d-\d\d)/", 1), F.lit("")))
+        rows = rows.where(F.coalesce(day >= F.lit(first_day).cast("timestamp"), F.lit(True)))
+    return rows
 
 
 def feed_items(pages: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pressroom.functions.markup import read_page
 from pressroom.operators import ingest, scrape, status
 from pressroom.operators.articles import natural_left_join, with_selected_text
 from pressroom.operators.numbering import numbered
-from pressroom.plans.news import process_news
+from pressroom.plans.news import import_landings, process_news
 from pressroom.schemas import FEED_ITEM, FETCHED_PAGE, METADATA
 from pressroom.sources.feed import feed_items, read_feed_pages
 from pressroom.sources.tables import Warehouse
@@ -220,6 +220,50 @@ def test_densest_run(spark):
     assert got == {1: text, 2: "Short one.", 3: None, 4: None, 5: text, 6: None}
 
 
+def landed_page(path, page, ids, total=9, lines=()):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    item = lambda i: {"news_id": f"{i}", "news_url": f"https://h/{i}", "title": "t", "date": "2024-01-02T03:04:05Z"}
+    pages = [(page, ids), *lines]
+    path.write_text("\n".join(json.dumps({"page": p, "total_pages": total, "data": [item(i) for i in x]}) for p, x in pages))
+
+
+def test_landings_of_every_layout(spark, tmp_path):
+    flat, plain, keyed = (tmp_path / x for x in ("flat", "plain", "keyed"))
+    landed_page(flat / "one.json", 1, [1, 2], lines=[(2, [])])
+    landed_page(flat / "two.json", 1, [3], lines=[(2, [4]), (3, [5, 6])])
+    landed_page(plain / "a" / "x.json", 1, [1])
+    landed_page(plain / "b" / "deep" / "x.json", 1, [2])
+    landed_page(keyed / "landed=2024-01-01" / "p1.json", 1, [1])
+    landed_page(keyed / "landed=2024-01-01" / "p2.json", 2, [])
+    landed_page(keyed / "landed=2024-01-01" / "p3.json", 3, [9])
+    landed_page(keyed / "landed=2024-01-02" / "p3.json", 3, [3])
+    landed_page(tmp_path / "written" / "part-0.json", 1, [])
+    landed_page(tmp_path / "written" / "part-1.json", 2, [7])
+    ids = lambda path, **days: sorted(r["news_id"] for r in feed_items(read_feed_pages(spark, str(path), **days)).collect())
+    assert ids(flat) == ["1", "2", "3", "4", "5", "6"]
+    assert ids(plain) == ["1", "2"]
+    assert ids(keyed) == ["1", "3"]
+    assert ids(keyed, first_day="2024-01-02") == ["3"]
+    assert ids(tmp_path / "written") == []
+
+
+def test_imported_landings_are_not_read_again(spark, tmp_path):
+    warehouse, path = Warehouse(spark, str(tmp_path / "warehouse")), tmp_path / "feed"
+    landed_page(path / "one.json", 1, [1, 2])
+    run = lambda now: import_landings(warehouse, str(path), now)
+    first = run("2024-01-03 00:00:00")
+    assert (first["n_rows"], first["n_landings"]) == (2, 1)
+    (path / "one.json").write_text("not JSON any more")  # would fail or add rows if it were read
+    landed_page(path / "two.json", 1, [2, 3])
+    landed_page(path / "landed=2023-12-20" / "old.json", 1, [4])
+    second = run("2024-01-04 00:00:00")
+    assert (second["n_rows"], second["n_landings"]) == (1, 1)
+    assert run("2024-01-05 00:00:00") == {"n_rows": 0, "n_landings": 0}
+    assert sorted(r["news_id"] for r in warehouse.read_table("raw_data").collect()) == ["1", "2", "3"]
+    assert warehouse.read_table("article_status_data").count() == 3
+    assert warehouse.read_table("feed_landings").count() == 2
+
+
 def test_repeated_blocks(spark):
     rows = [(i, f"http://h.example/{i}", f"<p>Own text {i}.</p><p>Subscribe to us.</p><p>Subscribe to us.</p>") for i in range(4)]
     rows.append((9, "http://other.example/", "<p>Subscribe to us.</p>"))
