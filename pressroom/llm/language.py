@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom.llm.common import give_back, map_batches, salted_join, save
 from pressroom.llm.textkit import folded, pieces_of
@@ -15,6 +15,8 @@ from pressroom.llm.textkit import folded, pieces_of
 BINS = 1 << 16
 #: Labelled texts of each language that a fit reads, and languages whose counts a task holds before it sends them on.
 PER_LANGUAGE = 1_000
+#: One in so many rows has to declare a language for a model of it.
+RAREST = 1_000
 HELD = 32
 #: Trigrams overlap, so that so many count as one independent observation.
 OVERLAP = 3.0
@@ -59,24 +61,28 @@ def fit(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
 ) -> TextModel:
-    """Trigram models of all declared languages, each from at most ``per_language`` texts.
+    """Trigram models of the declared languages, each from about ``per_language`` texts.
 
-    The texts are the first of their language by a hash of their id. Trigrams are counted in a
-    grouped aggregation. Rows without a language or an id are passed over; without any, the model
-    knows no language.
+    A language needs one in ``RAREST`` of the rows that declare one, so there are at most as many;
+    ``identify`` keeps the others' documents as of unknown language. The texts are those whose hash of
+    the id is below the share that gives so many. Trigrams are counted in a grouped aggregation.
+    Rows without a language or an id are passed over; without any, the model knows no language.
     """
-    keys = docs.select(F.col(id_col), F.col(lang_col).alias("_lang")).filter(
-        F.col(id_col).isNotNull() & F.col("_lang").isNotNull()
-    )
-    languages = sorted(r["_lang"] for r in keys.select("_lang").distinct().collect())
+    declared = docs.filter(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
+    counts = declared.groupBy(F.col(lang_col).cast("string").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = save(counts, "languages")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    common = counts.filter(F.col("_n") * RAREST >= total)
+    languages = sorted(r["_lang"] for r in common.collect())
     if not languages:
         return TextModel([], np.zeros((BINS, 0), np.float32), np.zeros(0))
-    first = Window.partitionBy("_lang").orderBy(F.xxhash64(id_col), id_col)
-    picked = keys.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= per_language).drop("_place")
-    # A broadcast of at most per_language keys of each language.
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("_text")
-    rows = docs.select(F.col(id_col), F.col(lang_col).alias("_lang"), text)
-    sample = rows.join(F.broadcast(picked), [id_col, "_lang"]).select("_lang", "_text")
+    # At most RAREST rows are sent to all tasks.
+    shares = F.broadcast(common.select("_lang", (F.lit(float(per_language)) / F.col("_n")).alias("_share")))
+    rows = declared.select(
+        F.col(lang_col).cast("string").alias("_lang"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+        (F.shiftrightunsigned(F.xxhash64(id_col), 11) / F.lit(float(2**53))).alias("_draw"),
+    )
+    sample = rows.join(shares, "_lang").filter("_draw < _share").select("_lang", "_text")
 
     def sent(total: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, seen in total.items():

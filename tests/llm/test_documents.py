@@ -406,3 +406,13 @@ def test_sequences_join_the_ids(session, documents):
     assert all(len(r["ids"]) == 4 * r["length"] for r in whole)
     assert sum(zlib.crc32(bytes(r["ids"])) > 0 for r in whole) == len(whole)
     assert hashlib.sha1(b"").hexdigest()
+
+
+def test_rare_declared_languages_are_unknown_but_kept(session):
+    words = "the quick brown fox jumps over the lazy dog again and again "
+    rows = [(i, words * 3, "en") for i in range(1500)] + [(9000, "odd words of a dirty column " * 5, "dirty"), (9001, words, None)]
+    docs = session.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == ["en"]
+    found = {r["doc_id"]: r for r in language.identify(docs, model=model).collect()}
+    assert found[9000]["kept"] and found[9000]["lang"] is None and found[9001]["lang"] == "en"
