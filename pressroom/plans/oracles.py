@@ -438,13 +438,14 @@ both_texts AS (
 SELECT doc_id, pw AS preview_text_word_count, fw AS full_cleaned_text_word_count,
   md5(CASE WHEN coalesce(pw, 0) > coalesce(fw, 0) AND coalesce(pw, 0) >= 100 THEN preview ELSE full_text END)
     AS selected_md5 FROM both_texts"""
-    sql["article_features"] = f"""WITH m AS (
-  SELECT doc_id AS news_id, CASE WHEN doc_id % 5 <> 0 THEN 'u' || doc_id % 7 END AS news_url, text FROM documents),
-s AS (SELECT page_id AS news_id, CASE WHEN page_id % 5 <> 0 THEN 'u' || page_id % 3 END AS news_url, html FROM pages),
+    sql["article_features"] = f"""WITH source AS (SELECT page_id, html FROM pages),
+{block_ctes('source', 'page_id')}, {page_text_ctes('source', 'page_id')},
+m AS (SELECT doc_id AS news_id, CASE WHEN doc_id % 5 <> 0 THEN 'u' || doc_id % 7 END AS news_url, text FROM documents),
+s AS (SELECT page_id AS news_id, CASE WHEN page_id % 5 <> 0 THEN 'u' || page_id % 3 END AS news_url, full_text FROM page_text),
 j AS (
-  SELECT m.news_id, m.news_url, text, html, {words('text')} AS pw, {words('html')} AS fw
+  SELECT m.news_id, m.news_url, text, full_text, {words('text')} AS pw, {words('full_text')} AS fw
   FROM m LEFT JOIN s ON m.news_id = s.news_id AND m.news_url IS NOT DISTINCT FROM s.news_url),
-c AS (SELECT *, CASE WHEN pw > coalesce(fw, 0) AND pw >= 100 THEN text ELSE html END AS chosen FROM j)
+c AS (SELECT *, CASE WHEN pw > coalesce(fw, 0) AND pw >= 100 THEN text ELSE full_text END AS chosen FROM j)
 SELECT news_id, news_url, fw AS full_cleaned_text_word_count, {words('chosen')} AS selected_text_word_count,
   {tokens('chosen')} AS selected_text_token_count FROM c"""
 
@@ -629,10 +630,19 @@ merged AS (SELECT * FROM fresh UNION ALL SELECT * FROM stored WHERE ticker IN (S
 SELECT {BAR_COLUMNS} FROM merged"""
     wide = ", ".join(
         f"{'max' if f == 'volume' else 'round(max'}({f}) FILTER (ticker = '{t}-USD'){'' if f == 'volume' else ', 6)'} AS {f}_{t}"
-        for t in ("click", "view", "purchase")
-        for f in ("open", "close", "volume")
+        for t in ("click", "error", "purchase", "signup", "view")
+        for f in ("open", "high", "low", "close", "volume")
     )
     sql["price_wide"] = f"WITH {BARS} SELECT date, {wide} FROM bars GROUP BY date"
+    sql["price_files"] = f"""WITH {BARS}
+SELECT 'csv' AS source, {BAR_COLUMNS} FROM bars WHERE ticker = 'click-USD'
+UNION ALL SELECT 'parquet', {BAR_COLUMNS} FROM bars
+WHERE ticker IN ('view-USD', 'error-USD') AND date >= '2024-01-05' AND date < '2024-01-20'"""
+    sql["request_file"] = f"""WITH {MESSAGES}
+SELECT 'article_' || doc_id AS custom_id, 'POST' AS method, '/v1/chat/completions' AS url, 'gpt-4o' AS model,
+  0.4::DOUBLE AS temperature, 3000 AS max_tokens, md5(string_agg(role, ' ' ORDER BY pos)) AS roles_md5,
+  md5(arg_max(content, pos)) AS content_md5 FROM messages GROUP BY doc_id"""
+    sql["unscraped_articles"] = "SELECT doc_id::VARCHAR AS news_id, source, true AS no_text, true AS no_outcome FROM documents"
     sql["price_one"] = f"WITH {BARS} SELECT {BAR_COLUMNS} FROM bars WHERE ticker = 'click-USD'"
     sql["price_flow"] = f"WITH {BARS} SELECT {BAR_COLUMNS} FROM bars"
 
@@ -652,7 +662,7 @@ SELECT d.doc_id::VARCHAR AS news_id, g.news_id IS NOT NULL AS llm_data,
   CASE WHEN g.news_id IS NOT NULL THEN (d.doc_id % 10 + 1)::INT END AS day_utc, g.positive::DOUBLE AS positive,
   g.kind = 5 AS sentiment_warning,
   CASE WHEN g.news_id IS NULL THEN
-    {tokens(q(V.SYSTEM_MESSAGE) + " || chr(10) || " + user_message().replace("lang || ' ' || source", "'None'"))} END AS token_count
+    {tokens(q(V.SYSTEM_MESSAGE) + " || chr(10) || " + user_message().replace("lang || ' ' || source", "d.lang || ' ' || d.source"))} END AS token_count
 FROM documents d LEFT JOIN good g ON g.news_id = d.doc_id"""
     sql["stream_import"] = """SELECT page_id::VARCHAR AS news_id, url AS news_url,
   TIMESTAMP '2024-01-01' + to_hours((page_id % 240)::INT) AS date_utc, 'Page ' || page_id AS title_text FROM pages"""

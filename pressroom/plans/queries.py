@@ -24,7 +24,8 @@ from pressroom.schemas import FEED_ITEM, TableSpec
 from pressroom.session import configure, scratch_dir, work_dir
 from pressroom.sources import tables
 from pressroom.sources.feed import feed_items, read_feed_pages, request_parameters
-from pressroom.sources.prices import read_prices, ticker_series
+from pressroom.sources.analysis import write_requests
+from pressroom.sources.prices import read_bars, read_prices, ticker_series
 from pressroom.streaming.imports import start_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,10 +138,10 @@ def article_features(spark, sf):
         F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("u"), F.col("doc_id") % 7)).alias("news_url"),
         F.col("text").alias("preview_text"),
     )
-    scraped = I.table(spark, sf, "pages").select(
+    scraped = scrape.extract_text(I.pages(spark, sf), "page_id").select(
         F.col("page_id").alias("news_id"),
         F.when(F.col("page_id") % 5 != 0, F.concat(F.lit("u"), F.col("page_id") % 3)).alias("news_url"),
-        F.col("html").alias("full_cleaned_text"),
+        F.col("full_text").alias("full_cleaned_text"),
     )
     joined = articles.natural_left_join(metadata, scraped)
     joined = measure(joined, "preview_text", "full_cleaned_text")
@@ -619,6 +620,32 @@ def batch_requests(spark, sf):
     )
 
 
+@query
+def request_file(spark, sf):
+    """Requests as lines of a file, read back as a model would."""
+    path = scratch_dir(spark, "requests")
+    write_requests(analysis.batch_requests(_request_articles(spark, sf)), path)
+    message = "array<struct<role: string, content: string>>"
+    body = f"struct<model: string, temperature: double, max_tokens: int, messages: {message}>"
+    line = F.from_json("value", f"custom_id string, method string, url string, body {body}")
+    return spark.read.text(path).select(line.alias("r")).select(
+        "r.custom_id", "r.method", "r.url", "r.body.model", "r.body.temperature", "r.body.max_tokens",
+        F.md5(F.array_join("r.body.messages.role", " ")).alias("roles_md5"),
+        F.md5(F.element_at("r.body.messages.content", -1)).alias("content_md5"),
+    )
+
+
+@query
+def unscraped_articles(spark, sf):
+    """Documents met with a table that nobody has written: all of them, with nothing scraped."""
+    warehouse = tables.Warehouse(spark, work_dir(spark, "warehouse"))
+    metadata = I.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("news_id"), "source")
+    scraped = warehouse.read_table("scraped_data", columns=["news_id", "full_text", "success"])
+    return articles.natural_left_join(metadata, scraped).select(
+        "news_id", "source", F.col("full_text").isNull().alias("no_text"), F.col("success").isNull().alias("no_outcome")
+    )
+
+
 @query
 def batch_tokens(spark, sf):
     requests = analysis.batch_requests(_request_articles(spark, sf))
@@ -706,17 +733,27 @@ def price_refresh(spark, sf):
 
 @query
 def price_wide(spark, sf):
-    wide = prices.wide_prices(I.bars(spark, sf), ["click-USD", "view-USD", "purchase-USD"])
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    wide = prices.wide_prices(I.bars(spark, sf), [f"{kind}-USD" for kind in kinds])
+    fields = ["open", "high", "low", "close", "volume"]
     return wide.select(
-        "date",
-        *[
-            F.round(f"`{f}_{t}-USD`", 6).alias(f"{f}_{t}")
-            for t in ("click", "view", "purchase")
-            for f in ("open", "close", "volume")
-        ],
+        "date", *[F.round(f"`{field}_{kind}-USD`", 6).alias(f"{field}_{kind}") for kind in kinds for field in fields]
     )
 
 
+@query
+def price_files(spark, sf):
+    """Landed bars, one ticker as CSV and all as Parquet, read within bounds of tickers and days."""
+    path = scratch_dir(spark, "bars")
+    bars = I.bars(spark, sf)
+    bars.filter("ticker = 'click-USD'").write.option("header", True).csv(f"{path}/csv")
+    bars.write.parquet(f"{path}/parquet")
+    landed = read_bars(spark, f"{path}/csv", ["click-USD"], fmt="csv").withColumn("source", F.lit("csv"))
+    rest = read_bars(spark, f"{path}/parquet", ["view-USD", "error-USD"], "2024-01-05", "2024-01-20")
+    rows = landed.unionByName(rest.withColumn("source", F.lit("parquet")))
+    return rows.select("source", "ticker", "date", *[F.round(c, 6).alias(c) for c in ("open", "high", "low", "close")], "volume")
+
+
 @query
 def price_one(spark, sf):
     return _with_rounding(ticker_series(I.bars(spark, sf), "click"))
@@ -810,6 +847,11 @@ def analysis_flow(spark, sf):
         F.col("text").alias("llm_ready_text"),
     )
     warehouse.write_table("cleaned_data", cleaned, unique=True)
+    titled = I.table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("news_id"), F.concat_ws(" ", "lang", "source").alias("title_text"),
+    )
+    dated = cleaned.drop("llm_ready_text").join(titled, "news_id")
+    warehouse.write_table("raw_data", dated, unique=True)
     ids = warehouse.read_table("cleaned_data", columns=["news_id"])
     done = {name: F.lit(name != "llm_data") for name in ("raw_data", "scraped_data", "cleaned_data", "llm_data")}
     warehouse.write_table("article_status_data", ids.withColumns(done), unique=True)
