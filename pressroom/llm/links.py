@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pressroom.llm.common import salted_join, save
 
 DAMPING = 0.7
+#: After so many rounds at most ``DAMPING ** ROUNDS`` (2.8 %) of a seed's weight is still to come.
 ROUNDS = 10
 #: A host is blocked where its distrust, less its trust, is over this; one is a seed judged wholly.
 THRESHOLD = 0.5
+#: Rules given as a list are literals of the plan; more of them come as a table.
 MAX_RULES = 10_000
 
 
@@ -55,13 +57,17 @@ def suffixes(host: Column) -> Column:
     )
 
 
-def host_rules(hosts: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``(host, rules)``: the rules whose host is the host or a parent of it, longest first.
-
-    ``hosts`` is distinct. The rules are a list of at most ``MAX_RULES``, so they are one literal table.
-    """
+def rule_table(hosts: DataFrame, rules: list[Rule] | DataFrame) -> DataFrame:
+    """``(suffix, size, rule, path, action)`` of the rules, each once."""
+    if isinstance(rules, DataFrame):
+        host, path = (F.coalesce(F.col(c), F.lit("")) for c in ("host", "path"))
+        text = F.concat(host, F.lit("/"), path)
+        return rules.filter(F.col("action").isin("allow", "block") & (host != "")).select(
+            host.alias("suffix"), (-F.length(text)).alias("size"), text.alias("rule"),
+            F.concat(F.lit("/"), path).alias("path"), "action",
+        ).distinct()
     if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+        raise ValueError(f"more than {MAX_RULES} rules in a list: give them as a table")
     known = [
         F.struct(
             F.lit(r.host).alias("suffix"), F.lit(-len(r.text)).alias("size"), F.lit(r.text).alias("rule"),
@@ -69,7 +75,16 @@ def host_rules(hosts: DataFrame, rules: list[Rule]) -> DataFrame:
         )
         for r in dict.fromkeys([*rules, Rule("", "", "")])
     ]
-    listed = hosts.sparkSession.range(1).select(F.inline(F.array(*known))).filter("action != ''")
+    return hosts.sparkSession.range(1).select(F.inline(F.array(*known))).filter("action != ''")
+
+
+def host_rules(hosts: DataFrame, rules: list[Rule] | DataFrame) -> DataFrame:
+    """``(host, rules)``: the rules whose host is the host or a parent of it, longest first.
+
+    ``hosts`` is distinct. The rules are a list of at most ``MAX_RULES``, or a table ``(action, host,
+    path)`` of any size, of which rows without a host or of another action say nothing.
+    """
+    listed = rule_table(hosts, rules)
     each = hosts.select("host", F.explode(suffixes(F.col("host"))).alias("suffix"))
     met = each.join(listed, "suffix")
     return met.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("size", "rule", "path", "action"))).alias("rules"))
@@ -85,11 +100,24 @@ def rule_for(path: Column, rules: Column) -> Column:
 
 
 def host_links(pages: DataFrame, html_col: str) -> DataFrame:
-    """``(src, dst, weight)`` between different hosts: absolute links of the pages of ``host``, counted before the shuffle."""
-    found = F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(r"(?i)(?:href|src)\s*=\s*[\"']?([a-z]+://[^\s\"'<>]+)"), 1)
-    links = pages.select(F.col("host").alias("src"), F.explode(found).alias("url"))
-    links = links.select("src", host_of(F.col("url")).alias("dst")).filter("dst != '' and src != '' and src != dst")
-    return links.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    """``(src, dst, weight)`` between different hosts: links of the pages of ``host``, counted before the shuffle.
+
+    Links count with their own host (``scheme://host``, ``//host``), others with the host of the
+    page's ``<base href>``, if it names one; without it they stay on the page's host.
+    """
+    html = F.coalesce(F.col(html_col), F.lit(""))
+    address = r"(?i)\s(?:href|src)\s*=\s*[\"']?((?:[a-z][a-z0-9+.-]*:)?//[^\s\"'<>]+)"
+    based = F.regexp_extract(html, r"(?i)<base\s[^>]*?href\s*=\s*[\"']?((?:[a-z][a-z0-9+.-]*:)?//[^\s\"'<>]+)", 1)
+    # A link is relative if its address names neither host nor scheme.
+    relative = F.regexp_count(html, F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']?(?![a-z][a-z0-9+.-]*:|//|[\"'#\s>])"))
+    own = F.regexp_extract_all(F.regexp_replace(html, r"(?i)<base\s[^>]*>", ""), F.lit(address), 1)
+    there = F.transform(own, lambda url: F.struct(url.alias("url"), F.lit(1).cast("double").alias("n")))
+    through = F.when((based != "") & (relative > 0), F.array(F.struct(based.alias("url"), relative.cast("double").alias("n"))))
+    found = F.concat(there, F.coalesce(through, F.array().cast("array<struct<url:string,n:double>>")))
+    links = pages.select(F.col("host").alias("src"), F.explode(found).alias("link"))
+    target = F.when(F.startswith("link.url", F.lit("//")), F.concat(F.lit(":"), "link.url")).otherwise(F.col("link.url"))
+    links = links.select("src", host_of(target).alias("dst"), "link.n").filter("dst != '' and src != '' and src != dst")
+    return links.groupBy("src", "dst").agg(F.sum("n").alias("weight"))
 
 
 def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
@@ -129,7 +157,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
 
 
 def judge(
-    pages: DataFrame, rules: list[Rule], url_col: str = "url", html_col: str = "html",
+    pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "url", html_col: str = "html",
     id_col: str = "page_id", threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``(id, host, path, rule, verdict, trust, distrust)`` per page.

@@ -93,4 +93,44 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_con
   saved_tokens, n.ends_sha256
 FROM nodes n LEFT JOIN nodes u ON u.key = n.above LEFT JOIN children c ON c.key = n.key JOIN sums s ON s.key = n.key"""
 
-ORACLES: dict[str, str] = {"op1_warc": OP1, "op7_vectors": OP7, "op8_jaccard": OP8, "op11_prefix_trie": OP11}
+def _op4() -> str:
+    rounds = "".join(
+        f"""
+walk{i + 1} AS (
+  SELECT s.host, any_value(s.trust) + coalesce(sum(0.7 * w.share * r.trust) FILTER (w.way = 0), 0) AS trust,
+    any_value(s.distrust) + coalesce(sum(0.7 * w.share * r.distrust) FILTER (w.way = 1), 0) AS distrust
+  FROM walk0 s LEFT JOIN ways w ON w.target = s.host LEFT JOIN walk{i} r ON r.host = w.host GROUP BY s.host),"""
+        for i in range(10)
+    )
+    address = r"""\\s(?:href|src)\\s*=\\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^\\s"''<>]+)""".replace("\\\\", "\\")
+    return rf"""WITH parsed AS (
+  SELECT page_id, coalesce(html, '') AS html,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(action, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+met AS (
+  SELECT p.*, (SELECT max_by(struct_pack(rule := r.host || r.path, action := r.action), length(r.host || r.path)) FROM rules r
+    WHERE p.host <> '' AND (p.host = r.host OR ends_with(p.host, '.' || r.host))
+      AND starts_with(CASE WHEN p.path = '' THEN '/' ELSE p.path END, r.path)) AS found FROM parsed p),
+own AS (
+  SELECT host, avg((coalesce(found.action, '') = 'allow')::INT) AS trust, avg((coalesce(found.action, '') = 'block')::INT) AS distrust
+  FROM met WHERE host <> '' GROUP BY host),
+found_links AS (SELECT host AS src, unnest(regexp_extract_all(html, '(?i){address}', 1)) AS url FROM parsed),
+links AS (
+  SELECT src, translate(regexp_extract(url, '//([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+  FROM found_links),
+edges AS (SELECT src, dst, count(*)::DOUBLE AS weight FROM links WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+ways AS (
+  SELECT 0 AS way, src AS host, dst AS target, weight / sum(weight) OVER (PARTITION BY src) AS share FROM edges
+  UNION ALL SELECT 1, dst, src, weight / sum(weight) OVER (PARTITION BY dst) FROM edges),
+walk0 AS (
+  SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
+    SELECT * FROM own UNION ALL SELECT DISTINCT host, 0.0::DOUBLE, 0.0::DOUBLE FROM ways) GROUP BY host),{{rounds}}
+done AS (SELECT * FROM walk10)
+SELECT m.page_id, m.host, m.path, found.rule AS rule,
+  coalesce(found.action, CASE WHEN d.distrust - d.trust > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, d.trust, d.distrust
+FROM met m LEFT JOIN done d USING (host)""".replace("{rounds}", rounds)
+
+
+ORACLES: dict[str, str] = {"op1_warc": OP1, "op4_url_filter": _op4(), "op7_vectors": OP7, "op8_jaccard": OP8, "op11_prefix_trie": OP11}

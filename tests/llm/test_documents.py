@@ -260,6 +260,46 @@ def test_trust_and_distrust_spread_over_links(session):
     assert [found[i]["verdict"] for i in range(1, 7)] == ["allow", "allow", "block", "block", "allow", "allow"]
 
 
+def test_walks_equal_power_iteration(session):
+    rng = random.Random(12)
+    hosts = [f"h{i}.test" for i in range(60)]
+    edges = {(a, "h0.test"): rng.randrange(1, 4) for a in hosts[1:50]}  # a hub
+    edges |= {(rng.choice(hosts), rng.choice(hosts)): rng.randrange(1, 9) for _ in range(150)}
+    edges = {k: float(w) for k, w in edges.items() if k[0] != k[1]}
+    seeds = [(h, float(i % 7 == 0), float(i % 5 == 1)) for i, h in enumerate(hosts)]
+    found = links.spread(
+        session.createDataFrame([(*k, w) for k, w in edges.items()], "src string, dst string, weight double"),
+        session.createDataFrame(seeds, "host string, trust double, distrust double"),
+    ).collect()
+    n = np.zeros((60, 60))
+    for (a, b), w in edges.items():
+        n[hosts.index(a), hosts.index(b)] = w
+    for column, matrix in ((1, n), (2, n.T)):
+        share = matrix / np.maximum(matrix.sum(axis=1, keepdims=True), 1e-12)
+        own = np.array([s[column] for s in seeds])
+        value = own.copy()
+        for _ in range(links.ROUNDS):
+            value = own + links.DAMPING * (share.T @ value)
+        assert np.allclose([next(r[column] for r in found if r["host"] == h) for h in hosts], value, atol=1e-9)
+
+
+def test_links_of_every_form_and_rules_as_a_table(session):
+    rows = [
+        (1, "http://a.test/x", "<a href='//B.test/y'>1</a><img src=https://c.test:80/z><a href=/own>2</a><a href='mailto:x@d.test'>3</a>"),
+        (2, "http://e.test/", "<base target=_top href='//f.test/dir/'><a href='x.html'>1</a><A HREF=\"/y\">2</A><a href='#top'>3</a><a href='//g.test'>4</a>"),
+        (3, "http://h.test/", "<base href='/dir/'><a href='x.html'>1</a>"), (4, "http://h.test/", None),
+    ]
+    pages = session.createDataFrame(rows, "page_id long, url string, html string")
+    edges = links.host_links(pages.withColumn("host", links.host_of(F.col("url"))), "html").collect()
+    assert {(r["src"], r["dst"]): r["weight"] for r in edges} == {
+        ("a.test", "b.test"): 1, ("a.test", "c.test:80"): 1, ("e.test", "f.test"): 2, ("e.test", "g.test"): 1,
+    }
+    table = [("block", "test", ""), ("allow", "a.test", "x"), ("allow", "", "x"), ("other", "h.test", ""), (None, "h.test", None)] * 2
+    rules = session.createDataFrame(table, "action string, host string, path string")
+    found = {r["page_id"]: (r["rule"], r["verdict"]) for r in links.judge(pages, rules).collect()}
+    assert found == {1: ("a.test/x", "allow"), 2: ("test/", "block"), 3: ("test/", "block"), 4: ("test/", "block")}
+
+
 # -- mixing and packing ----------------------------------------------------------------------
 
 
