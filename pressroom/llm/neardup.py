@@ -192,7 +192,8 @@ def classes(
     """
     groups = components(save(candidates, "candidates")).withColumnRenamed("node", "id")
     members = save(block_pairs(groups.join(distinct.select("id", "copies"), "id"), block), "pairs")
-    checked = save(compare_blocks(members.join(payload, "id"), linker), "checked")
+    # What is compared is large and its members are not: both sides are dealt by id at every size.
+    checked = save(compare_blocks(members.join(payload.hint("merge"), "id"), linker), "checked")
     links = checked.groupBy("id").agg(F.sum("links").alias("links"))
     edges = checked.filter("root != id").select(F.col("id").alias("a"), F.col("root").alias("b"))
     found = links.join(components(edges).withColumnRenamed("node", "id"), "id", "left")
