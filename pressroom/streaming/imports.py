@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pressroom.operators.ingest import drop_undated, new_rows, rename_feed, typed_feed, with_dates
+from pressroom.operators.ingest import drop_undated, new_rows, new_status, rename_feed, typed_feed, with_dates
 from pressroom.schemas import METADATA
 from pressroom.sources.tables import Warehouse
 
@@ -33,13 +33,16 @@ def stream_metadata(items: DataFrame, overlap: str = "1 day") -> DataFrame:
 
 
 def upsert_batches(
-    warehouse: Warehouse, name: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df
+    warehouse: Warehouse,
+    name: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    order_by: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function. A batch that is run again changes nothing: rows meet their
-    earlier versions by key."""
+    earlier versions by key. Of rows with one key in a batch the last by ``order_by`` counts."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        warehouse.write_table(name, prepare(batch))
+        warehouse.write_table(name, prepare(batch), order_by=order_by)
 
     return write
 
@@ -47,14 +50,27 @@ def upsert_batches(
 def start_import(
     warehouse: Warehouse, items: DataFrame, checkpoint: str, overlap: str = "1 day"
 ) -> StreamingQuery:
-    """Run the items at hand into ``raw_data`` and stop; ids already stored are passed over."""
+    """Run the items at hand into ``raw_data`` and stop; ids already stored are passed over.
+
+    As in the batch import, every stored article without a status row gets one; a run that died
+    between the two writes is made good by the next batch. Of an id that occurs twice in a batch the
+    latest counts, of one date the greatest URL.
+    """
 
     def only_new(batch: DataFrame) -> DataFrame:
         return new_rows(batch, warehouse.read_table("raw_data", columns=["news_id"]))
 
+    upsert = upsert_batches(warehouse, "raw_data", only_new, order_by=["date_utc", "news_url"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch, batch_id)
+        metadata = warehouse.read_table("raw_data", columns=["news_id"])
+        status = warehouse.read_table("article_status_data", columns=["news_id"])
+        warehouse.write_table("article_status_data", new_status(metadata, status), unique=True)
+
     return (
         stream_metadata(items, overlap)
-        .writeStream.foreachBatch(upsert_batches(warehouse, "raw_data", only_new))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

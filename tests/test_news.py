@@ -368,6 +368,9 @@ def test_stream_import(spark, tmp_path):
     rows = warehouse.read_table("raw_data").collect()
     assert len(rows) == 3
     assert {r["news_url"] for r in rows} == {"u", "https://h.example/3", "https://h.example/4"}
+    status = warehouse.read_table("article_status_data").collect()
+    assert sorted(r["news_id"] for r in status) == sorted(r["news_id"] for r in rows)
+    assert all(r["raw_data"] and not r["scraped_data"] for r in status)
 
 
 def test_bounded_feed_read_leaves_later_reads_alone(spark, tmp_path):
