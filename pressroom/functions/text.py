@@ -152,7 +152,9 @@ def with_clean_text(
         result = F.regexp_replace(result, V.NUMBER, "<NUMBER>")
     if no_punct:
         result = F.translate(result, V.ASCII_PUNCTUATION, "")
-    return df.withColumn(out, normalize_whitespace(result)).drop("_text")
+    # One row out of an array of one: the optimizer does not carry these steps, which it would
+    # repeat for every use beside Arrow functions, over into what is computed from the text.
+    return df.withColumn(out, F.explode_outer(F.array(normalize_whitespace(result)))).drop("_text")
 
 
 def word_count(text: Column) -> Column:

@@ -57,15 +57,16 @@ def first_per_url(fetched: DataFrame) -> DataFrame:
 
 
 def join_outcomes(metadata: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Metadata with the outcome of its URL; many rows may share a URL.
+    """Metadata with the outcome of its URL; many rows may share a URL, and one without URL has none.
 
-    A URL that most rows share is split by adaptive skew handling; outcomes are unique per URL,
+    The key is the plain URL, by which ``first_per_url`` has dealt the outcomes already. A URL that
+    most rows share is split by adaptive skew handling; outcomes are unique per URL,
     so no row multiplies.
     """
     right = outcomes.withColumnRenamed("news_url", "_url")
     return (
         metadata.select("news_id", "news_url", "date_utc", *DATE_PARTS)
-        .join(right, F.col("news_url").eqNullSafe(F.col("_url")), "left")
+        .join(right, F.col("news_url") == F.col("_url"), "left")
         .drop("_url")
     )
 

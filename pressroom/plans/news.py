@@ -70,13 +70,13 @@ def import_landings(warehouse: Warehouse, path: str, now: str, start_date: str |
 def scrape_articles(warehouse: Warehouse, fetched: DataFrame) -> dict:
     """Outcomes of landed fetches for the pending articles.
 
-    An article is marked as scraped whatever its outcome; one whose page has not landed yet
-    stays pending.
+    An article is marked as scraped whatever its outcome; one whose page has not landed yet, or
+    that has no URL, stays pending.
     """
     todo = pending_scrape(warehouse.read_table("article_status_data"))
     metadata = warehouse.read_rows_of("raw_data", todo)
     urls = distinct_urls(metadata).withColumnRenamed("news_url", "_url")
-    same_url = F.col("news_url").eqNullSafe(F.col("_url"))
+    same_url = F.col("news_url") == F.col("_url")
     wanted = fetched.join(urls, same_url, "left_semi")
     landed = metadata.join(
         fetched.select(F.col("news_url").alias("_url")).distinct(), same_url, "left_semi"
