@@ -4,7 +4,8 @@ After Kiss and Strunk (2006): a token is an abbreviation if its period belongs t
 chance would have it; words that follow sure sentence ends are sentence starters; words that follow
 an abbreviation, an initial or a number more often than chance are collocations with it. All counts
 are grouped aggregations over all documents, added up before the shuffle; what is learned are three
-tables, joined to the boundaries in question, never collected.
+tables, joined to the boundaries in question, never collected. Tokens are trimmed and compared
+without regular expressions: there are some hundred million in a gigabyte.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ COLLOCATION_SCORE = 7.88
 LONGEST = 64
 
 SPACE = r"[ \t\r\n\f]"
-TOKEN = r"[^ \t\r\n\f]+"
 _MARK = "\x01"
 _SURE = 1e-9
 
@@ -39,20 +39,24 @@ class Boundaries:
     collocations: DataFrame
 
 
+def shortened(token: Column) -> Column:
+    """The token; empty for very long ones."""
+    return F.when(F.length(token) <= LONGEST, token).otherwise("")
+
+
 def core(token: Column) -> Column:
     """A token without quotes and brackets around it; empty for very long ones."""
-    short = F.when(F.length(token) <= LONGEST, token).otherwise("")
-    return F.regexp_replace(short, r"^[\"'(\[{]+|[\"')\]}]+\z", "")
+    return F.rtrim(F.ltrim(shortened(token), F.lit("\"'([{")), F.lit("\"')]}"))
 
 
 def token_type(bare: Column) -> Column:
     """Lower-case form without marks at the end."""
-    return F.lower(F.regexp_replace(bare, r"[.!?,;:]+\z", ""))
+    return F.lower(F.rtrim(bare, F.lit(".!?,;:")))
 
 
 def ends_in_period(bare: Column) -> Column:
     """One period at the end; several are an ellipsis."""
-    return bare.rlike(r"(?:^|[^.])\.\z")
+    return bare.endswith(".") & ~bare.endswith("..")
 
 
 def _log(p: Column) -> Column:
@@ -79,9 +83,14 @@ def association(a: Column, b: Column, both: Column, total: Column) -> Column:
     return -2 * (null - _binomial(both, a, p1) - _binomial(b - both, total - a, p2))
 
 
-def pieces(text: Column) -> Column:
+def spaced(text: Column) -> Column:
+    """A text with spaces for all white space, of the same length."""
+    return F.regexp_replace(text, r"[\t\r\n\f]", " ")
+
+
+def pieces(trimmed: Column) -> Column:
     """A text cut after every token that ends in a full stop, question or exclamation mark."""
-    marked = F.regexp_replace(F.trim(text), rf"([.!?][\"')\]}}]*)({SPACE}+)", "$1" + _MARK + "$2")
+    marked = F.regexp_replace(trimmed, rf"([.!?][\"')\]}}]*)({SPACE}+)", "$1" + _MARK + "$2")
     return F.split(marked, _MARK)
 
 
@@ -90,23 +99,21 @@ def candidates(docs: DataFrame, key: list[str], text: str) -> DataFrame:
 
     ``sure_kind`` is ``initial`` or ``number`` for tokens that need no list.
     """
-    edges = F.transform(
-        pieces(F.col(text)),
-        lambda p: F.struct(
-            core(F.substring_index(F.translate(p, "\t\r\n\f", "    "), " ", -1)).alias("last"),
-            core(F.regexp_extract(p, TOKEN, 0)).alias("first"),
-        ),
-    )
-    cut = docs.select(*key, edges.alias("_edges"))
+    # Only spaces at the ends are trimmed: other white space there still makes a boundary.
+    cut = docs.select(*key, pieces(spaced(F.trim(F.col(text)))).alias("_pieces"))
     inner = F.zip_with(
-        F.slice("_edges", F.lit(1), F.greatest(F.size("_edges") - 1, F.lit(0))),
-        F.slice("_edges", F.lit(2), F.greatest(F.size("_edges") - 1, F.lit(0))),
-        lambda a, b: F.struct(a["last"], b["first"]),
+        F.slice("_pieces", F.lit(1), F.greatest(F.size("_pieces") - 1, F.lit(0))),
+        F.slice("_pieces", F.lit(2), F.greatest(F.size("_pieces") - 1, F.lit(0))),
+        lambda a, b: F.struct(a.alias("before"), b.alias("after")),
     )
     rows = explode_rows(cut.select(*key, inner.alias("_inner")), key, "_inner", "pos", "_pair")
-    last, first = F.col("_pair.last"), F.col("_pair.first")
+    last = F.substring_index("_pair.before", " ", -1)
+    first = F.substring_index(F.ltrim("_pair.after"), " ", 1)
+    rows = rows.select(*key, "pos", core(last).alias("_last"), core(first).alias("_first"))
+    last, first = F.col("_last"), F.col("_first")
     period = ends_in_period(last)
-    kind = F.when(period & last.rlike(r"^\p{L}\.\z"), "initial").when(period & last.rlike(r"^[0-9][0-9.,]*\.\z"), "number")
+    initial = period & (F.length(last) == 2) & last.rlike(r"^\p{L}\.\z")
+    kind = F.when(initial, "initial").when(period & last.rlike(r"^[0-9][0-9.,]*\.\z"), "number")
     return rows.select(
         *key, "pos", token_type(last).alias("type"), period.alias("period"), kind.alias("sure_kind"),
         token_type(first).alias("next_type"), first.rlike(r"^\p{Lu}").alias("next_upper"), first.rlike(r"^\p{Ll}").alias("next_lower"),
@@ -115,12 +122,15 @@ def candidates(docs: DataFrame, key: list[str], text: str) -> DataFrame:
 
 def learn(docs: DataFrame, text: str = "text") -> Boundaries:
     """Learn from all documents; null and empty texts say nothing, and no texts give empty tables."""
-    bare = F.transform(F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)), core)
-    seen = F.transform(bare, lambda t: F.struct(token_type(t).alias("type"), ends_in_period(t).alias("period")))
-    tokens = docs.select(F.explode(seen).alias("t")).groupBy("t.type").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("t.period").alias("n_period")
+    # Outer for the reason given at explode_rows. Every distinct token is trimmed once.
+    tokens = docs.select(F.explode_outer(F.split(F.col(text), SPACE + "+")).alias("token")).filter("token != ''")
+    tokens = tokens.groupBy(shortened(F.col("token")).alias("token")).agg(F.count(F.lit(1)).alias("n"))
+    bare = tokens.select(core(F.col("token")).alias("bare"), "n")
+    seen = bare.select(token_type(F.col("bare")).alias("type"), ends_in_period(F.col("bare")).alias("period"), "n")
+    types = seen.groupBy("type").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("period"), F.col("n"))), F.lit(0)).alias("n_period")
     )
-    types = store(tokens, "token-types")
+    types = store(types, "token-types")
     sums = types.agg(F.sum("n").alias("total"), F.sum("n_period").alias("periods"))
     total, periods = (sums.select(c).scalar() for c in ("total", "periods"))
 
@@ -130,11 +140,13 @@ def learn(docs: DataFrame, text: str = "text") -> Boundaries:
     )
     abbreviations = store(scored.filter(F.col("score") >= ABBREVIATION_SCORE).select("type", "score"), "abbreviations")
 
-    pairs = candidates(docs, [], text).groupBy("type", "period", "sure_kind", "next_type").agg(F.count(F.lit(1)).alias("both"))
+    # After sure sentence ends only the next word counts, so that most pairs are added up at once.
+    rows = candidates(docs, [], text)
     known = abbreviations.select("type", F.lit("abbreviation").alias("learned"))
-    pairs = pairs.join(known, "type", "left")
     kind = F.when(F.col("period"), F.coalesce("sure_kind", "learned"))
-    pairs = store(pairs.select("type", kind.alias("kind"), "next_type", "both"), "boundary-pairs")
+    pairs = rows.join(known, "type", "left").select("type", kind.alias("kind"), "next_type")
+    pairs = pairs.withColumn("type", F.when(F.col("kind").isNotNull(), F.col("type")))
+    pairs = store(pairs.groupBy("type", "kind", "next_type").agg(F.count(F.lit(1)).alias("both")), "boundary-pairs")
 
     after = pairs.filter("kind IS NULL").groupBy("next_type").agg(F.sum("both").alias("both"))
     ends = pairs.filter("kind IS NULL").agg(F.sum("both").alias("ends")).scalar()
@@ -180,8 +192,10 @@ def with_learned_sentences(
     possible boundaries are shuffled; the text meets its decisions once.
     """
     rows = decided(candidates(docs, [key], text), learned)
-    flags = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "joined")))["joined"].alias("_joined"))
-    cut = docs.withColumn("_pieces", pieces(F.col(text))).join(flags, key, "left")
+    # Position and decision in one number, which sorts by position.
+    coded = F.sort_array(F.collect_list(F.col("pos") * 2 + F.col("joined").cast("int")))
+    flags = rows.groupBy(key).agg(F.transform(coded, lambda c: c % 2 == 1).alias("_joined"))
+    cut = docs.withColumn("_pieces", pieces(F.trim(F.col(text)))).join(flags, key, "left")
     last = F.array(F.lit(False))
     aligned = F.concat(F.coalesce("_joined", F.array().cast("array<boolean>")), last)
     whole = F.array_join(
